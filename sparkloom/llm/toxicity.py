@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 
 from .common import in_slices
 
-#: Labelled documents of each label that a model is fitted on (documented bound), and buckets of the hash.
-SAMPLE, BITS = 6000, 20
+#: Labelled documents of each label that a model is fitted on (documented bound), bits of the hash, bytes of a stem.
+SAMPLE, BITS, STEM = 6000, 20, 4
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
 
 
 def features(text: bytes | None, bits: int = BITS) -> np.ndarray:
-    """Distinct buckets of the text's words, pairs of neighbours and pairs with one word between."""
+    """Distinct buckets of the text's words, stems, pairs of neighbours and pairs with one word between.
+
+    A stem is the first STEM bytes of a longer word: inflected forms that were never seen share it.
+    """
     words = text.translate(_TABLE).split() if text else []
     h = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
     mix = lambda a, b, k: (a * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(k)) * np.uint64(0xC2B2AE3D27D4EB4F)
     keys = [(h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)]
+    stems = np.fromiter((zlib.crc32(w[:STEM]) for w in words if len(w) > STEM), np.uint64)
+    keys.append((stems + np.uint64(7)) * np.uint64(0xD6E8FEB86659FD93))
     keys += [mix(h[:-gap], h[gap:], gap) for gap in (1, 2) if len(h) > gap]
     return np.unique(np.concatenate(keys) >> np.uint64(64 - bits)).astype(np.int64)
 
