@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exactdup, langid, mixing, sharding, toxicity
+from . import chat, decontam, exactdup, langid, mixing, neardup, ppm, sharding, tokens, toxicity
 from .common import fold, materialise
 
 
@@ -22,6 +22,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_output(spark, _read(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     weights = toxicity.fit(spark, docs, _read(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
@@ -32,6 +36,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, _read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    got = ppm.lm_scores(spark, docs, docs.filter(fold("doc_id", 7) != 2))
+    return got.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql(r"""select -7L as conv_id, id as turn, if(id = 0, 'user', 'assistant') as role, r'\### Assistant: </turn> ok' as text from range(2)""")
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
@@ -47,6 +57,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_dedup(spark, _read(spark, sf_dir, "documents"), width=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_dedup(_read(spark, sf_dir, "documents"))
 
@@ -57,7 +71,7 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    ops = (op1_decontaminate, op2_language_id, op4_toxicity, op5_mix_sources, op7_chat_format, op9_exact_dedup, op10_shard)
+    ops = (op1_decontaminate, op2_language_id, op3_token_shards, op4_toxicity, op5_mix_sources, op6_lm_score, op7_chat_format, op8_near_dedup, op9_exact_dedup, op10_shard)
     return {f.__name__: f for f in ops}
 
 
