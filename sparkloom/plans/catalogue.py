@@ -1,4 +1,353 @@
 """Queries of the library by name, with the SQL that gives the same rows."""
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions import tokens as K
+from ..operators import context, corpus, feedback, metrics, results
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str):
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+# Lines of documents, some turned into comments and the like, as real corpora have them.
+LINES = """
+raw as (select doc_id, i - 1 as line_no, p[i] as line from (select doc_id, string_split(text, chr(10)) as p from documents), unnest(generate_series(1, len(p))) as g(i)),
+lines as (select doc_id, line_no, case (doc_id + line_no) % 7 when 0 then '# ' when 1 then '// ' when 2 then '  ;' when 3 then 'RVTEST_' else '' end || line || case when (doc_id + line_no) % 5 = 0 then ' # note' else '' end as line from raw)"""
+STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+CLEAN = rf"""
+clean as (select doc_id, line_no, s as line from (select *, {STRIP.format("line")} as s from lines) where s <> '' and not regexp_matches(s, '^(#|//|;|TEST|RVTEST)'))"""
+OPCODES = rf"""
+codes as (select doc_id, line_no, regexp_extract(c, '^\s*(\S+)', 1) as opcode from (select *, {STRIP.format("split_part(line, '#', 1)")} as c from clean) where c <> ''),
+counts as (select opcode, count(*) as n, min((doc_id, line_no)) as first_seen from codes group by opcode)"""
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = corpus.lines(_read(spark, sf_dir, "documents"))
+    m = (F.col("doc_id") + F.col("line_no")) % 7
+    head = F.when(m == 0, "# ").when(m == 1, "// ").when(m == 2, "  ;").when(m == 3, "RVTEST_").otherwise("")
+    tail = F.when((F.col("doc_id") + F.col("line_no")) % 5 == 0, " # note").otherwise("")
+    return rows.withColumn("line", F.concat(head, "line", tail))
+
+
+@query(f"with {LINES},{CLEAN} select doc_id, cast(line_no as bigint) as line_no, line from clean")
+def q01_clean_lines(spark, sf_dir):
+    return corpus.clean_lines(_lines(spark, sf_dir)).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line")
+
+
+def _opcode_top(spark, sf_dir, k):
+    counts = corpus.count_by(corpus.opcodes(corpus.clean_lines(_lines(spark, sf_dir))), "opcode", ["doc_id", "line_no"])
+    return corpus.most_common(counts, k).select("opcode", "n")
+
+
+@query(f"with {LINES},{CLEAN},{OPCODES} select opcode, n from counts order by n desc, first_seen limit 10")
+def q02_opcode_top10(spark, sf_dir):
+    return _opcode_top(spark, sf_dir, 10)
+
+
+@query(f"with {LINES},{CLEAN},{OPCODES} select opcode, n from counts order by n desc, first_seen limit 15")
+def q03_opcode_top15(spark, sf_dir):
+    return _opcode_top(spark, sf_dir, 15)
+
+
+TOKENS = r"docs as (select doc_id, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') as t from documents)"
+IDS = "ids as (select doc_id, list_transform(t, lambda x: cast('0x' || substr(md5(x), 1, 6) as int)) as ids from docs)"
+
+
+@query(f"with {TOKENS}, e as (select doc_id, i - 1 as pos, t[i] as token from docs, unnest(generate_series(1, len(t))) as g(i)) select token, count(*) as n from e group by token order by n desc, min((doc_id, pos)) limit 10")
+def q04_token_top10(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.posexplode(K.whitespace_tokens(F.col("text"))).alias("pos", "token"))
+    return corpus.most_common(corpus.count_by(docs, "token", ["doc_id", "pos"]), 10).select("token", "n")
+
+
+@query("select lang, count(*) as n, case when count(*) < 150 then 'SAMPLE' else 'FULL' end as size_class from documents group by lang")
+def q05_split_counts(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n")).withColumn("size_class", corpus.size_class(F.col("n"), 150))
+
+
+def _turn_pairs(spark, sf_dir):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.col("text").alias("prefix"), F.lead("text", 1, "").over(w).alias("suffix"), F.lead("text", 2, "").over(w).alias("reference"))
+    return rows.filter("role = 'user'").drop("role")
+
+
+PAIRS = "pairs as (select * exclude role from (select conv_id, turn, role, text as prefix, lead(text, 1, '') over w as suffix, lead(text, 2, '') over w as reference from conversations window w as (partition by conv_id order by turn)) where role = 'user')"
+
+
+@query(f"with {PAIRS} select conv_id, turn, '<fim_prefix>' || prefix || '<fim_suffix>' || suffix || '<fim_middle>' as prompt from pairs")
+def q06_fim_prompts(spark, sf_dir):
+    return _turn_pairs(spark, sf_dir).select("conv_id", "turn", T.fim_prompt(F.col("prefix"), F.col("suffix")).alias("prompt"))
+
+
+@query(f"""with {PAIRS}, e as (select conv_id, turn, case conv_id % 5
+  when 0 then '<fim_prefix>' || prefix || '<fim_suffix>' || suffix || '<fim_middle>' || reference
+  when 1 then '<fim_prefix>' || prefix || '<fim_prefix><fim_suffix>' || suffix || '<fim_middle>' || reference || '<fim_middle>tail'
+  when 2 then '<fim_prefix>' || prefix || '<fim_suffix>' || suffix || '<fim_suffix>more<fim_middle>' || reference
+  when 3 then '<fim_middle>' || prefix || '<fim_suffix>' || suffix || '<fim_middle>' || reference
+  else '<fim_prefix>' || prefix || '<fim_suffix>' || suffix end as text from pairs),
+v as (select *, contains(text, '<fim_suffix>') and contains(text, '<fim_middle>') as valid from e)
+select conv_id, turn, valid, case when valid then replace(split_part(text, '<fim_suffix>', 1), '<fim_prefix>', '') end as prefix,
+  case when valid then split_part(split_part(text, '<fim_suffix>', 2), '<fim_middle>', 1) end as suffix, case when valid then split_part(text, '<fim_middle>', 2) end as reference from v""")
+def q07_fim_parse(spark, sf_dir):
+    p, s, m, (a, b, c) = F.lit("<fim_prefix>"), F.lit("<fim_suffix>"), F.lit("<fim_middle>"), (F.col(x) for x in ("prefix", "suffix", "reference"))
+    kind = F.col("conv_id") % 5
+    text = F.when(kind == 0, F.concat(p, a, s, b, m, c)).when(kind == 1, F.concat(p, a, p, s, b, m, c, m, F.lit("tail"))).when(kind == 2, F.concat(p, a, s, b, s, F.lit("more"), m, c)).when(kind == 3, F.concat(m, a, s, b, m, c)).otherwise(F.concat(p, a, s, b))
+    return _turn_pairs(spark, sf_dir).select("conv_id", "turn", T.parse_fim(text).alias("e")).select("conv_id", "turn", "e.*")
+
+
+NORMAL = r"lower(regexp_replace(regexp_replace(regexp_replace({}, '#.*', '', 'g'), '[ \t]+', ' ', 'g'), '^\s+|\s+$', '', 'g'))"
+
+
+@query(f"select doc_id, md5({NORMAL.format('t')}) as digest from (select doc_id, case doc_id % 3 when 0 then replace(text, '. ', '. #cut ') when 1 then replace(text, ' ', chr(9) || '  ') else text end as t from documents)")
+def q08_normalise(spark, sf_dir):
+    m, text = F.col("doc_id") % 3, F.col("text")
+    noisy = F.when(m == 0, F.replace(text, F.lit(". "), F.lit(". #cut "))).when(m == 1, F.replace(text, F.lit(" "), F.lit("\t  "))).otherwise(text)
+    return _read(spark, sf_dir, "documents").select("doc_id", F.md5(T.normalise(noisy)).alias("digest"))
+
+
+GENERATED = "pairs as (select item_id, text as reference, case item_id % 3 when 0 then text || '  # as asked' when 1 then text || ' and more' else 'nop' end as generated from benchmark)"
+
+
+def _pairs(spark, sf_dir):
+    m, text = F.col("item_id") % 3, F.col("text")
+    return _read(spark, sf_dir, "benchmark").select("item_id", text.alias("reference"), F.when(m == 0, F.concat(text, F.lit("  # as asked"))).when(m == 1, F.concat(text, F.lit(" and more"))).otherwise("nop").alias("generated"))
+
+
+@query(f"with {GENERATED}, n as (select {NORMAL.format('reference')} as r, {NORMAL.format('generated')} as g from pairs) select count(*) as n, round(avg(cast(r = g as int)) * 100, 6) as exact_match_pct, round(avg(cast(starts_with(g, r) as int)) * 100, 6) as prefix_match_pct from n")
+def q09_match_report(spark, sf_dir):
+    got = metrics.match_report(_pairs(spark, sf_dir))
+    return got.select("n", F.round("exact_match_pct", 6).alias("exact_match_pct"), F.round("prefix_match_pct", 6).alias("prefix_match_pct"))
+
+
+def _bleu_sql(tokens: str) -> str:
+    return f"""with {GENERATED}, t as (select item_id, {tokens.format('reference')} as r, {tokens.format('generated')} as h from pairs),
+g as (select item_id, n, 'r' as side, array_to_string(r[i : i + n - 1], ' ') as gram from t, unnest([1, 2, 3, 4]) as o(n), unnest(generate_series(1, len(r) - n + 1)) as s(i)
+  union all select item_id, n, 'h', array_to_string(h[i : i + n - 1], ' ') from t, unnest([1, 2, 3, 4]) as o(n), unnest(generate_series(1, len(h) - n + 1)) as s(i)),
+c as (select item_id, n, gram, count(*) filter (side = 'r') as r, count(*) filter (side = 'h') as h from g group by all),
+s as (select n, sum(least(r, h)) as m, sum(h) as t, sum(r) as l from c group by n),
+b as (select sum(ln(m / t)) as logs, max(case when n = 1 then l end) as ref_len, max(case when n = 1 then t end) as hyp_len from s)
+select cast(ref_len as bigint) as ref_len, cast(hyp_len as bigint) as hyp_len, round(100 * case when hyp_len < ref_len then exp(1 - ref_len / hyp_len) else 1 end * exp(logs / 4), 6) as bleu from b"""
+
+
+def _bleu(spark, sf_dir, tokens):
+    got = metrics.bleu(metrics.bleu_counts(_pairs(spark, sf_dir), "item_id", tokens))
+    return got.select("ref_len", "hyp_len", F.round("bleu", 6).alias("bleu"))
+
+
+@query(_bleu_sql(r"list_filter(regexp_split_to_array({}, '\s+'), lambda x: x <> '')"))
+def q10_bleu_words(spark, sf_dir):
+    return _bleu(spark, sf_dir, K.whitespace_tokens)
+
+
+@query(_bleu_sql(r"list_filter(regexp_split_to_array(regexp_replace(regexp_replace(regexp_replace(regexp_replace(' ' || replace({}, chr(10), ' ') || ' ', '([\{{-\~\[-\` -\&\(-\+\:-\@\/])', ' \1 ', 'g'), '([^0-9])([\.,])', '\1 \2 ', 'g'), '([\.,])([^0-9])', ' \1 \2', 'g'), '([0-9])(-)', '\1 \2 ', 'g'), '\s+'), lambda x: x <> '')"))
+def q10_bleu_13a(spark, sf_dir):
+    return _bleu(spark, sf_dir, metrics.tokens_13a)
+
+
+LOSSES = "losses as (select event_id, case when event_id % 97 = 0 then 800.0 else value / 100 end as loss, event_id % 10 as ref_len from events)"
+
+
+def _losses(spark, sf_dir):
+    loss = F.when(F.col("event_id") % 97 == 0, 800.0).otherwise(F.col("value") / 100)
+    return _read(spark, sf_dir, "events").select("event_id", loss.alias("loss"), (F.col("event_id") % 10).alias("ref_len"))
+
+
+@query(f"with {LOSSES}, p as (select case when ref_len > 0 and loss < 700 then exp(loss) end as p from losses) select round(avg(p), 6) as avg_perplexity, count(p) as used, count(*) - count(p) as skipped from p")
+def q11_perplexity(spark, sf_dir):
+    got = metrics.perplexity_report(_losses(spark, sf_dir))
+    return got.select(F.round("avg_perplexity", 6).alias("avg_perplexity"), "used", "skipped")
+
+
+RATINGS = """ratings as (select event_id, case when event_id % 6 = 0 then '' else event_type end as prefix, props as suffix, case when event_id % 11 = 0 then '' else event_type end as suggestion,
+  case event_id % 5 when 0 then null when 1 then 0 when 2 then 1 when 3 then 3 else 1 end as rating, case when event_id % 7 = 0 then 'unknown' when event_id % 2 = 0 then 'realtime' else 'comment-to-code' end as suggestion_type,
+  event_id % 3 = 0 as accepted, case when event_id % 4 = 0 then '' else '2026-01-0' || (event_id % 9 + 1) || 'T00:00:00.000Z' end as "timestamp" from events)"""
+DETAIL = """case when suggestion = '' then 'Suggestion is required' when rating is not null and rating not in (0, 1) then 'Rating must be 0 or 1'
+  when suggestion_type not in ('realtime', 'comment-to-code') then 'suggestion_type must be ''realtime'' or ''comment-to-code''' end"""
+
+
+def _ratings(spark, sf_dir):
+    e = F.col("event_id")
+    return _read(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(e % 6 == 0, "").otherwise(F.col("event_type")).alias("prefix"),
+        F.col("props").alias("suffix"),
+        F.when(e % 11 == 0, "").otherwise(F.col("event_type")).alias("suggestion"),
+        F.when(e % 5 == 1, 0).when(e % 5 == 2, 1).when(e % 5 == 3, 3).when(e % 5 == 4, 1).alias("rating"),
+        F.when(e % 7 == 0, "unknown").when(e % 2 == 0, "realtime").otherwise("comment-to-code").alias("suggestion_type"),
+        (e % 3 == 0).alias("accepted"),
+        F.when(e % 4 == 0, "").otherwise(F.concat(F.lit("2026-01-0"), (e % 9 + 1).cast("string"), F.lit("T00:00:00.000Z"))).alias("timestamp"),
+    )
+
+
+def _detail():
+    return feedback.rating_detail(F.col("suggestion"), F.col("rating"), F.col("suggestion_type"))
+
+
+@query(f"with {RATINGS} select event_id, case when d is null then 200 else 400 end as status, d as detail from (select event_id, {DETAIL} as d from ratings)")
+def q12_rating_validation(spark, sf_dir):
+    return _ratings(spark, sf_dir).select("event_id", feedback.status(_detail()).alias("status"), _detail().alias("detail"))
+
+
+@query(f"""with {RATINGS} select event_id, cast(accepted as int) as accepted, coalesce(nullif("timestamp", ''), '2026-02-01T00:00:00.000000+00:00') as "timestamp" from ratings where {DETAIL} is null""")
+def q13_rating_defaults(spark, sf_dir):
+    rows = _ratings(spark, sf_dir).filter(_detail().isNull())
+    return feedback.with_defaults(rows, F.lit("2026-02-01T00:00:00.000000+00:00")).select("event_id", "accepted", "timestamp")
+
+
+@query(f"""with {RATINGS} select prefix, suffix, suggestion, rating, suggestion_type, accepted, "timestamp" from ratings where {DETAIL} is null""")
+def q14_rating_scan(spark, sf_dir):
+    return _ratings(spark, sf_dir).filter(_detail().isNull()).drop("event_id")
+
+
+@query(f"""with {RATINGS} select event_id as id, prefix, '' as suffix, suggestion, rating, 'realtime' as suggestion_type, 1 as accepted, '' as "timestamp" from ratings where {DETAIL} is null""")
+def q15_schema_evolution(spark, sf_dir):
+    old = _ratings(spark, sf_dir).filter(_detail().isNull()).select(F.col("event_id").alias("id"), "prefix", "suggestion", "rating")
+    return feedback.evolved(old)
+
+
+@query(f"""with {LINES}, w as (select doc_id, line_no, line, cast(length(line) // 2 as int) as cut,
+  array_to_string(list(line) over (partition by doc_id order by line_no rows between 40 preceding and 1 preceding), chr(10)) as above,
+  array_to_string(list(line) over (partition by doc_id order by line_no rows between 1 following and 20 following), chr(10)) as below from lines),
+p as (select doc_id, line_no, regexp_replace(coalesce(above || chr(10), '') || left(line, cut), '^\\s+', '') as prefix, regexp_replace(substr(line, cut + 1) || coalesce(chr(10) || below, ''), '\\s+$', '') as suffix from w)
+select doc_id, cast(line_no as bigint) as line_no, cast(length(prefix) as bigint) as prefix_len, md5(prefix) as prefix_md5, cast(length(suffix) as bigint) as suffix_len, md5(suffix) as suffix_md5 from p""")
+def q16_context_windows(spark, sf_dir):
+    got = context.context_windows(_lines(spark, sf_dir), F.floor(F.length("line") / 2).cast("int"))
+    length = lambda c: F.length(c).cast("long").alias(f"{c}_len")
+    return got.select("doc_id", F.col("line_no").cast("long").alias("line_no"), length("prefix"), F.md5("prefix").alias("prefix_md5"), length("suffix"), F.md5("suffix").alias("suffix_md5"))
+
+
+@query(f"""with {LINES}, p as (select doc_id, line_no, coalesce({STRIP.format("lag(line) over (partition by doc_id order by line_no)")}, '') as prev from lines),
+k as (select doc_id, line_no, case when starts_with(prev, '#') and length(prev) > 1 then 'comment-to-code' else 'realtime' end as suggestion_type from p)
+select doc_id, cast(line_no as bigint) as line_no, suggestion_type, case when suggestion_type = 'comment-to-code' then 150 else 50 end as max_tokens from k""")
+def q17_suggestion_type(spark, sf_dir):
+    rows = _lines(spark, sf_dir).withColumn("suggestion_type", context.suggestion_type(context.previous_line()))
+    return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "suggestion_type", context.token_budget(F.col("suggestion_type")).alias("max_tokens"))
+
+
+@query(f"with {LINES} select doc_id, count(*) as lines, count(*) filter (regexp_matches({STRIP.format('line')}, '^[#.]')) as suppressed from lines group by doc_id")
+def q18_suppression(spark, sf_dir):
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(context.suppressed(F.col("line"))).alias("suppressed"))
+
+
+@query("""with g as (select *, case when ts - lag(ts) over w <= interval 30 minutes then 0 else 1 end as first from events window w as (partition by user_id order by ts, event_id)),
+b as (select *, sum(first) over (partition by user_id order by ts, event_id) as burst from g)
+select user_id, strftime(max(ts) + interval 30 minutes, '%Y-%m-%d %H:%M:%S') as fires_at, arg_max(event_id, (ts, event_id)) as event_id, count(*) as n from b group by user_id, burst""")
+def q19_debounce(spark, sf_dir):
+    got = context.debounce(_read(spark, sf_dir, "events"), "user_id", "ts", "event_id", "30 minutes")
+    return got.select("user_id", F.date_format("fires_at", "yyyy-MM-dd HH:mm:ss").alias("fires_at"), "event_id", "n")
+
+
+@query("select user_id, max(event_id) as event_id, arg_max(event_type, event_id) as event_type, arg_max(value, event_id) as value from events group by user_id")
+def q20_latest_request(spark, sf_dir):
+    return context.latest(_read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value"), "user_id", "event_id")
+
+
+@query("select doc_id, case when row_number() over (order by md5(cast(doc_id as varchar)), doc_id) <= ceil(0.2 * (select count(*) from documents)) then 'test' else 'train' end as split from documents")
+def q21_train_test_split(spark, sf_dir):
+    return corpus.train_test_split(_read(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+
+
+@query("select doc_id, row_number() over (order by md5(cast(doc_id as varchar)), doc_id) as sample_pos from documents order by sample_pos limit 200")
+def q22_sample(spark, sf_dir):
+    return corpus.sample_by_digest(_read(spark, sf_dir, "documents").select("doc_id"), "doc_id").select("doc_id", F.col("sample_pos").cast("long").alias("sample_pos"))
+
+
+def _ids(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", K.hash_ids(K.whitespace_tokens(F.col("text"))).alias("ids"))
+
+
+@query(f"""with {TOKENS}, {IDS} select doc_id, cast(len(ids) as bigint) as n_ids, md5(array_to_string(ids[1:512], ',')) as cut, md5(array_to_string(list_resize(ids[1:512], 512, 0), ',')) as padded from ids""")
+def q23_truncate_pad(spark, sf_dir):
+    cut = K.truncate(F.col("ids"))
+    return _ids(spark, sf_dir).select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.md5(F.array_join(cut.cast("array<string>"), ",")).alias("cut"), F.md5(F.array_join(K.pad(cut).cast("array<string>"), ",")).alias("padded"))
+
+
+@query(f"""with {TOKENS}, {IDS}, m as (select doc_id, list_transform(ids, lambda x, i: case when i <= doc_id % 50 then -100 else x end) as labels from ids)
+select doc_id, md5(array_to_string(labels, ',')) as labels, cast(len(list_filter(labels, lambda x: x = -100)) as bigint) as ignored from m""")
+def q24_labels(spark, sf_dir):
+    rows = _ids(spark, sf_dir).withColumn("_l", K.mask_prompt(F.col("ids"), F.col("doc_id") % 50))
+    return rows.select("doc_id", F.md5(F.array_join(F.col("_l").cast("array<string>"), ",")).alias("labels"), F.size(F.filter("_l", lambda x: x == K.IGNORED)).cast("long").alias("ignored"))
+
+
+@query("select doc_id, quality, toxic, 'old' as origin from labels where doc_id % 3 <> 0 union all select doc_id, quality + 10, toxic, 'new' from labels where doc_id % 3 = 0 union all select -1, 0, 0, 'new'")
+def q25_upsert(spark, sf_dir):
+    old = _read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", F.lit("old").alias("origin"))
+    new = old.filter("doc_id % 3 = 0").withColumn("quality", F.col("quality") + 10).unionByName(spark.createDataFrame([(-1, 0, 0, "old")], old.schema))
+    return results.upsert(old, new.withColumn("origin", F.lit("new")), "doc_id")
+
+
+@query(rf"""with {PAIRS}, g as (select conv_id, turn, prefix, case conv_id % 3 when 0 then prefix || '  ' || suffix || chr(10) when 1 then '  ' || prefix || suffix else suffix end as g from pairs)
+select conv_id, turn, {STRIP.format("case when starts_with(g, prefix) then substr(g, length(prefix) + 1) else g end")} as served,
+  case when starts_with({STRIP.format("g")}, prefix) then {STRIP.format("substr(" + STRIP.format("g") + ", length(prefix) + 1)")} else {STRIP.format("g")} end as shown from g""")
+def q26_completion_strip(spark, sf_dir):
+    m, prefix, suffix = F.col("conv_id") % 3, F.col("prefix"), F.col("suffix")
+    g = F.when(m == 0, F.concat(prefix, F.lit("  "), suffix, F.lit("\n"))).when(m == 1, F.concat(F.lit("  "), prefix, suffix)).otherwise(suffix)
+    rows = _turn_pairs(spark, sf_dir).withColumn("g", g)
+    return rows.select("conv_id", "turn", T.after_prompt(F.col("g"), prefix).alias("served"), T.after_prefix(F.col("g"), prefix).alias("shown"))
+
+
+@query(f"""with {GENERATED}, n as (select item_id, {NORMAL.format('reference')} as r, {NORMAL.format('generated')} as g from pairs),
+s as (select item_id, case when not starts_with(g, r) then 'wrong' when g <> r then 'close' end as slice from n)
+select item_id, slice from (select *, row_number() over (partition by slice order by item_id) as k from s where slice is not null) where k <= 3""")
+def q27_error_slices(spark, sf_dir):
+    return metrics.error_slices(_pairs(spark, sf_dir), "item_id").select("item_id", "slice")
+
+
+@query("""with r as (select doc_id, case when doc_id % 13 = 0 then '' else text end as prefix, doc_id % 4 - 1 as m from documents)
+select doc_id, case when d is null then 200 else 400 end as status, d as detail from (select doc_id, case when prefix = '' then 'Prefix is required' when m <= 0 then 'max_new_tokens must be greater than 0' when length(prefix) > 512 then 'Prefix exceeds 512 characters' end as d from r)""")
+def q28_generate_validation(spark, sf_dir):
+    prefix = F.when(F.col("doc_id") % 13 == 0, "").otherwise(F.col("text"))
+    detail = feedback.generate_detail(prefix, F.col("doc_id") % 4 - 1)
+    return _read(spark, sf_dir, "documents").select("doc_id", feedback.status(detail).alias("status"), detail.alias("detail"))
+
+
+@query(f"""with {RATINGS}, q as (select event_id, case when suggestion = '' and event_id % 2 = 0 then 'repaired' else suggestion end as suggestion, case when rating = 3 and event_id % 2 = 0 then 1 else rating end as rating, suggestion_type from ratings where {DETAIL} is not null)
+select event_id, case when d is not null then 'parked' when event_id % 8 = 0 then 'duplicate' else 'delivered' end as state, d as detail from (select *, {DETAIL} as d from q)""")
+def q29_retry_queue(spark, sf_dir):
+    even = F.col("event_id") % 2 == 0
+    queue = _ratings(spark, sf_dir).filter(_detail().isNotNull())
+    repaired = queue.withColumn("suggestion", F.when((F.col("suggestion") == "") & even, "repaired").otherwise(F.col("suggestion"))).withColumn("rating", F.when((F.col("rating") == 3) & even, 1).otherwise(F.col("rating")))
+    stored = _read(spark, sf_dir, "events").filter("event_id % 8 = 0").select("event_id")
+    return feedback.flush(repaired, stored, "event_id").select("event_id", "state", "detail")
+
+
+@query(f"""with {GENERATED}, n as (select {NORMAL.format('reference')} as r, {NORMAL.format('generated')} as g from pairs), {LOSSES}, p as (select case when ref_len > 0 and loss < 700 then exp(loss) end as p from losses)
+select (select count(*) from n) as num_samples, (select round(avg(cast(r = g as int)) * 100, 2) from n) as exact_match_pct, (select round(avg(cast(starts_with(g, r) as int)) * 100, 2) from n) as prefix_match_pct, (select round(avg(p), 4) from p) as avg_perplexity, (select count(p) from p) as ppl_sample_size""")
+def q30_summary(spark, sf_dir):
+    """The summary as JSON, read back: one row of each report, joined as single rows."""
+    both = metrics.match_report(_pairs(spark, sf_dir)).withColumn("one", F.lit(1)).join(F.broadcast(metrics.perplexity_report(_losses(spark, sf_dir)).withColumn("one", F.lit(1))), "one")
+    body = results.summary_json(
+        {"model": F.lit("stub"), "num_samples": F.col("n")},
+        {"exact_match_pct": F.round("exact_match_pct", 2), "prefix_match_pct": F.round("prefix_match_pct", 2), "avg_perplexity": F.round("avg_perplexity", 4), "ppl_sample_size": F.col("used")},
+    )
+    kind = "model string, num_samples long, metrics struct<exact_match_pct double, prefix_match_pct double, avg_perplexity double, ppl_sample_size long>"
+    return both.select(F.from_json(body, kind).alias("s")).select("s.num_samples", "s.metrics.*")
+
+
+@query("""select lang, round(exp(avg(n_chars) / 1000), 6) as perplexity from documents where lang in ('en', 'de') group by lang""")
+def q31_dataset_perplexity(spark, sf_dir):
+    losses = _read(spark, sf_dir, "documents").groupBy("lang").agg((F.avg("n_chars") / 1000).alias("loss"))
+    rows = results.dataset_perplexity(losses.select("lang", F.struct(F.col("loss").alias("eval_loss")).alias("eval_results")))
+    return results.pick(rows, "lang", ["en", "de"]).select("lang", F.round("perplexity", 6).alias("perplexity"))
+
+
+@query("""select event_id, case event_type when 'click' then 1 when 'view' then 0 end as rating, event_id + 1 as line_number from events""")
+def q32_feedback_choice(spark, sf_dir):
+    choice = F.when(F.col("event_type") == "click", "helpful").when(F.col("event_type") == "view", "not helpful").otherwise("")
+    return _read(spark, sf_dir, "events").select("event_id", context.feedback(choice).alias("rating"), (F.col("event_id") + 1).alias("line_number"))
