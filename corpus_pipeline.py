@@ -10,51 +10,55 @@ from sparkloom.llm.common import fold, materialise
 LEAST_SCORE = 0.5
 #: Rows to drop that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Columns that stages add and take away; no column of the documents has these names.
+ROW, COPIES, COPY = "__sparkloom_row", "__sparkloom_copies", "__sparkloom_copy"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with _row, a number by the place in the scan of a written table."""
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+    """docs with a number by the place in the scan of a written table."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     few = dropped.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(dropped) if few else dropped, "_row", "left_anti").drop("_row")
+    return docs.join(F.broadcast(dropped) if few else dropped, ROW, "left_anti").drop(ROW)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is recognised; the model learns from four fifths of the documents."""
     model = langid.fit(spark, docs.filter(fold("doc_id", 5) != 0))
-    found = langid.identify(spark, docs, model, keep=tuple(docs.columns))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    safe = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # a column may have the name of a result
+    found = langid.identify(spark, safe, model, keep=tuple(safe.columns), text_col=safe.columns[docs.columns.index("text")])
+    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col(a).alias(b) for a, b in zip(safe.columns, docs.columns, strict=True)])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id of each group of near duplicates: five-word shingles, similarity 0.8."""
     rows = _numbered(docs)
-    found = neardup.near_dedup(spark, rows, 5, 80, keep=("_row",)).filter("component is not null").select("component", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_at"))
+    found = neardup.near_dedup(spark, rows, 5, 80, keep=(ROW,)).filter("component is not null").select("component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW).alias("_at"))
     found = materialise(spark, found, "groups")
     first = found.groupBy("component").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    dropped = found.join(first, "component").filter("_at <> _first").select(F.col("_at._row").alias("_row"))
+    dropped = found.join(first, "component").filter("_at <> _first").select(F.col("_at")[ROW].alias(ROW))
     return _without(rows, materialise(spark, dropped, "dropped"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with any window of a benchmark item."""
     rows = _numbered(docs)
-    found = decontam.decontaminate(spark, rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=("_row",))
-    return _without(rows, materialise(spark, found.filter("n_hit > 0").select("_row"), "dropped"))
+    found = decontam.decontaminate(spark, rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=(ROW,))
+    return _without(rows, materialise(spark, found.filter("n_hit > 0").select(ROW), "dropped"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that sources come near their target weights."""
     rows = _numbered(docs)
-    taken = mixing.mix(spark, rows, row_col="_row").select(F.col("_row").cast("long").alias("_row"), "copies").filter("copies <> 1")
+    taken = mixing.mix(spark, rows, row_col=ROW).filter("copies <> 1").select(F.col(ROW).cast("long").alias(ROW), F.col("copies").alias(COPIES))
     taken = materialise(spark, taken, "copies")
     few = taken.count() <= BROADCAST_ROWS
-    joined = rows.join(F.broadcast(taken) if few else taken, "_row", "left")
-    times = F.coalesce(F.col("copies"), F.lit(1)).cast("int")
-    return joined.filter(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    joined = rows.join(F.broadcast(taken) if few else taken, ROW, "left")
+    times = F.coalesce(F.col(COPIES), F.lit(1)).cast("int")
+    return joined.filter(times > 0).withColumn(COPY, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
