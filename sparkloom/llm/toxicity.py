@@ -106,7 +106,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     chosen = marked.filter(F.col("_u") < F.when(F.col("label") == 1, share.get(1, 0)).otherwise(share.get(0, 0)))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).join(F.broadcast(chosen), "_id")
     rows = texts.select("_u", "label", "_text").mapInArrow(lambda it: _featured(it, bits), "_u long, label int, at binary")
-    one = rows.coalesce(1).sortWithinPartitions("_u", "label", "at")
+    one = rows.repartition(1).sortWithinPartitions("_u", "label", "at")
     got = one.mapInArrow(lambda it: _train(it, bits, epochs), "key long, weight double").toPandas()
     bias, rest = got[got.key < 0].weight, got[got.key >= 0].sort_values("key")
     return Weights(rest.key.to_numpy(np.int64), rest.weight.to_numpy(np.float64), float(bias.iloc[0]) if len(bias) else 0.0, bits)
