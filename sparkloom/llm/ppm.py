@@ -76,6 +76,11 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out_grams()
 
 
+def context_key(context: bytes) -> int:
+    """A context as a number: its length, then its bytes."""
+    return len(context) << 8 * ORDER | int.from_bytes(context)
+
+
 class Trie:
     """The trie of byte contexts as an automaton: for each context and symbol the code length and next context.
 
@@ -85,37 +90,38 @@ class Trie:
     the chances of all 256 bytes after any context add up to 1.
     """
 
-    def __init__(self, rows: list[tuple[bytes, int, int]]) -> None:
-        names = sorted({c for c, _, _ in rows} | {b""}, key=lambda c: (len(c), c))
-        number = {c: i for i, c in enumerate(names)}
-        seen = sorted({s for c, s, _ in rows if not c})
+    def __init__(self, contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray) -> None:
+        """Rows of a context (a number, see context_key), the symbol after it and how often it was there."""
+        names = np.unique(np.r_[np.int64(0), contexts])  # shorter contexts come first
+        length, value = names >> 8 * ORDER, names & ((1 << 8 * ORDER) - 1)
+        seen = np.unique(symbols[contexts == 0]).astype(np.int64)
         #: Byte to class; bytes that were never seen share the last one.
         self.classes = np.full(256, len(seen), np.int64)
         self.classes[seen] = np.arange(len(seen))
         self.width = len(seen) + 1
-        counts = np.zeros((len(names), self.width), np.float32)
-        for c, s, n in rows:
-            counts[number[c], self.classes[s]] = n
-        suffix = np.zeros(len(names), np.int64)
-        for c, i in number.items():
-            while c:
-                c = c[1:]
-                if c in number:
-                    suffix[i] = number[c]
-                    break
+        table = np.zeros((len(names), self.width), np.float32)
+        table[np.searchsorted(names, contexts), self.classes[symbols]] = counts
+        suffix, cut = np.zeros(len(names), np.int64), length - 1
+        for _ in range(ORDER):  # the longest suffix that is a context, mostly one byte shorter
+            cut = np.maximum(cut, 0)
+            key = (cut << 8 * ORDER) | (value & ((1 << 8 * cut) - 1))
+            at = np.minimum(np.searchsorted(names, key), len(names) - 1)
+            suffix = np.where((suffix == 0) & (names[at] == key), at, suffix)
+            cut = cut - 1
+        parent_key = (np.maximum(length - 1, 0) << 8 * ORDER) | (value >> 8)
+        parent = np.minimum(np.searchsorted(names, parent_key), len(names) - 1)
+        last = self.classes[value & 255]
+        child = (length > 0) & (names[parent] == parent_key) & (last < len(seen))
         self.next = np.zeros((len(names), self.width), np.int32)
-        children: dict[int, list[tuple[int, int]]] = {}
-        for c, i in number.items():
-            if c and c[:-1] in number and self.classes[c[-1]] < len(seen):
-                children.setdefault(number[c[:-1]], []).append((int(self.classes[c[-1]]), i))
-        for i in range(len(names)):  # shorter contexts come first
-            if i:
-                self.next[i] = self.next[suffix[i]]
-            for s, j in children.get(i, ()):
-                self.next[i, s] = j
+        for n in range(ORDER + 1):
+            own = np.flatnonzero(length == n)
+            if n:
+                self.next[own] = self.next[suffix[own]]
+            below = np.flatnonzero(child & (length == n + 1))
+            self.next[parent[below], last[below]] = below
         self.code = np.zeros((len(names), self.width), np.float32)
         for at in range(0, len(names), 2048):
-            self.code[at : at + 2048] = self._codes(counts, suffix, np.arange(at, min(at + 2048, len(names))), 256 - len(seen))
+            self.code[at : at + 2048] = self._codes(table, suffix, np.arange(at, min(at + 2048, len(names))), 256 - len(seen))
 
     def _codes(self, counts: np.ndarray, suffix: np.ndarray, nodes: np.ndarray, unseen: int) -> np.ndarray:
         out = np.zeros((len(nodes), self.width))
@@ -236,12 +242,15 @@ def lm_scores(spark: SparkSession, docs: DataFrame, train: DataFrame, id_col: st
 
     runs = counts.filter("not is_word").select("key", "n")
     lengths = F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("o")
-    nodes = runs.select("key", "n", lengths).groupBy(F.expr(f"substring(key, {ORDER} + 1 - o, o)").alias("context"), F.substring("key", ORDER + 1, 1).alias("symbol")).agg(F.sum("n").alias("n"))
+    context = F.expr(f"substring(key, {ORDER} + 1 - o, o)")
+    number = F.shiftleft(F.col("o").cast("long"), 8 * ORDER) + F.coalesce(F.conv(F.hex(context), 16, 10).cast("long"), F.lit(0))
+    symbol = F.conv(F.hex(F.substring("key", ORDER + 1, 1)), 16, 10).cast("int")
+    nodes = runs.select("key", "n", lengths).groupBy(number.alias("context"), symbol.alias("symbol")).agg(F.sum("n").alias("n"))
     nodes = materialise(spark, nodes, "trie")
     totals = nodes.groupBy("context").agg(F.sum("n").alias("n"))
     kept = totals.filter(F.col("n") >= _least(totals, contexts)).select("context")
     model = nodes.join(kept, "context").toPandas()
-    trie = Trie([(bytes(c), s[0], int(n)) for c, s, n in zip(model.context, model.symbol, model.n, strict=True)])
+    trie = Trie(model.context.to_numpy(np.int64), model.symbol.to_numpy(np.int64), model.n.to_numpy(np.float64))
     del model
 
     bound = _least(words, head)

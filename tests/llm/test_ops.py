@@ -244,7 +244,7 @@ def test_trie_is_a_distribution_and_scores_as_by_hand():
         run = k.to_bytes(ppm.ORDER + 1)
         for o in range(ppm.ORDER + 1):
             table[run[ppm.ORDER - o : -1], run[-1]] += c
-    trie = ppm.Trie([(c, s, n) for (c, s), n in table.items()])
+    trie = ppm.Trie(np.array([ppm.context_key(c) for c, _ in table]), np.array([s for _, s in table]), np.array(list(table.values())))
     chance = 10.0 ** trie.code.astype(float)
     assert np.allclose(chance[:, :-1].sum(axis=1) + chance[:, -1] * (257 - trie.width), 1, atol=1e-4)
 
@@ -276,7 +276,7 @@ def test_token_round_trip(spark, docs, tmp_path):
     manifest = tokens.write_shards(spark, docs, path, length=16, shard_bytes=2000, key=3)
     got = tokens.read_shards(spark, path, with_tokens=True).collect()
     assert sorted(r.slot for r in got) == list(range(manifest["sequences"]))
-    assert all(r.shard == r.slot // manifest["per_shard"] and r.byte_offset == r.slot % manifest["per_shard"] * manifest["stride"] for r in got)
+    assert all(r.byte_offset == (r.slot - manifest["starts"][r.shard]) * manifest["stride"] for r in got) and len({r.shard for r in got}) > 3
     texts = Counter((i, t or "") for i, t in rows_of(docs))
     for (i, t), n in texts.items():
         if n == 1 and i is not None:
