@@ -108,6 +108,17 @@ g as (
     coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '') as loss, sum(rl + tl + 14) as formatted_chars
   from e group by conv_id)
 select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(loss) as bigint) as loss_chars, sha256(loss) as loss_sha256, cast(formatted_chars as bigint) as formatted_chars from g""",
+    "op8_near_dedup": r"""
+with recursive d as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end as g from d, unnest(generate_series(1, greatest(1, len(w) - 1))) as t(i) where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b using (g) where a.doc_id < b.doc_id group by all),
+l as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 80 * (a.n + b.n - c)),
+e as (select x, y from l union all select y, x from l),
+r as (select doc_id as x, doc_id as y from documents union select r.x, e.y from r join e on r.y = e.x)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id, d.doc_id = m.c as kept
+from d left join n using (doc_id) join (select x as doc_id, min(y) as c from r group by x) m using (doc_id)""",
     "op9_exact_dedup": r"""
 with n as (select doc_id, row_number() over (order by doc_id) as r, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
 select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
