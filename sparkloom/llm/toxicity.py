@@ -34,7 +34,7 @@ def features(text: bytes | None, bits: int = BITS) -> np.ndarray:
 class Ftrl:
     """FTRL-proximal with a learning rate for each coordinate; L1 keeps most weights at zero."""
 
-    def __init__(self, bits: int = BITS, alpha: float = 0.3, beta: float = 1.0, l1: float = 2.0, l2: float = 0.5) -> None:
+    def __init__(self, bits: int = BITS, alpha: float = 0.5, beta: float = 1.0, l1: float = 8.0, l2: float = 0.5) -> None:
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(1 << bits), np.zeros(1 << bits)
         self.bias_z = self.bias_n = 0.0
@@ -90,7 +90,7 @@ def _train(batches: Iterable[pa.RecordBatch], bits: int, epochs: int) -> Iterato
     yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, keys], pa.int64()), pa.array(np.r_[model.bias(), w[keys]], pa.float64())], names=["key", "weight"])
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, bits: int = BITS, epochs: int = 3) -> Weights:
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, bits: int = BITS, epochs: int = 4) -> Weights:
     """Fits on about so many labelled documents of each label, chosen by a hash of the id.
 
     labels may hold other labels than 0 and 1, nulls, or rows without a document: those are left out; if a
