@@ -196,7 +196,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, percent: in
 
     bands = classes.select("cid", F.explode("_bands").alias("_band"))
     hub = F.first("cid").over(Window.partitionBy("_band").orderBy("cid").rowsBetween(Window.unboundedPreceding, 0))
-    clusters = components(spark, bands.select(hub.alias("a"), F.col("cid").alias("b")).filter("a <> b"))
+    # A member keeps the edge to its smallest hub; its other hubs, at most one a band, are tied to that hub instead.
+    tied = bands.select(hub.alias("hub"), "cid").filter("hub <> cid").groupBy("cid").agg(F.collect_set("hub").alias("_hubs"))
+    tied = materialise(spark, tied.withColumn("_first", F.array_min("_hubs")), "hubs")
+    among = tied.select(F.col("_first").alias("a"), F.explode("_hubs").alias("b")).distinct()
+    clusters = components(spark, tied.select(F.col("_first").alias("a"), F.col("cid").alias("b")).unionByName(among))
     members = clusters.join(classes.select("cid", "_set", "_rep", "_size"), clusters.node == F.col("cid")).select("cid", "_set", "_rep", "_size", F.col("label").alias("_clu"))
     members = materialise(spark, members, "members")
     n_members = members.count()
