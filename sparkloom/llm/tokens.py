@@ -1,6 +1,8 @@
 """Token-ID output: sequences in training order, in binary shards of records of fixed stride."""
 
+import array
 import base64
+import bisect
 import hashlib
 import json
 import struct
@@ -27,8 +29,8 @@ HEADER = "<qIIB3x"
 HEADER_BYTES = struct.calcsize(HEADER)
 
 
-class Pieces(dict):
-    """Tokens of pieces of text between single spaces, as bytes; a piece that needs its neighbours raises KeyError."""
+class Pieces:
+    """Tokens of texts, put together from those of the pieces between single spaces."""
 
     def __init__(self, vocabulary: bytes) -> None:
         import tiktoken
@@ -36,30 +38,41 @@ class Pieces(dict):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.end = len(ranks)
         self.encoding = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def __missing__(self, piece: str) -> bytes:
-        body = piece.removeprefix(" ")
-        if not body or body[0].isspace() or body[-1].isspace():
-            raise KeyError(piece)
-        if len(self) >= CACHE:
-            self.clear()
-        self[piece] = out = self.whole(piece)
-        return out
+        self.after_space = Remembered(self.encoding)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
+        return array.array("H", self.encoding.encode_ordinary(text)).tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        """Tokens as 16-bit numbers. The pattern never joins across a single space, so pieces can be looked up."""
+        """Tokens as 16-bit numbers. The pattern never joins across a single space, so pieces can be looked up;
+        a text with other white space at the end of a piece is encoded as a whole."""
         if not text:
             return b""
         first, *rest = text.split(" ")
+        if not rest or not first or first[-1].isspace():
+            return self.whole(text)
         try:
-            return b"".join([self[first], *[self[" " + p] for p in rest]])
+            return b"".join([self.whole(first), *map(self.after_space.__getitem__, rest)])
         except KeyError:
             return self.whole(text)
 
 
+class Remembered(dict):
+    """Tokens of a space and a piece; a piece that needs its neighbours raises KeyError."""
+
+    def __init__(self, encoding: object) -> None:
+        super().__init__()
+        self.encoding = encoding
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise KeyError(piece)
+        if len(self) >= CACHE:
+            self.clear()
+        self[piece] = out = array.array("H", self.encoding.encode_ordinary(" " + piece)).tobytes()
+        return out
+
+
 def tokenizer(vocabulary: bytes) -> Pieces:
     """One for each worker process, kept between tasks."""
     kept = sys.modules.setdefault("_sparkloom_kept", types.ModuleType("_sparkloom_kept"))
@@ -93,44 +106,35 @@ class Feistel:
         return out.astype(np.int64)
 
 
-def _sequences(tokens: int, length: int) -> int:
-    return -(-(tokens + 1) // length)
-
-
-def _tally(batches: Iterable[pa.RecordBatch], vocabulary: bytes, length: int) -> Iterator[pa.RecordBatch]:
-    pieces, n = tokenizer(vocabulary), 0
-    for batch in batches:
-        n += sum(_sequences(len(pieces.encode(t)) // 2, length) for t in batch.column(1).to_pylist())
-    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64())], names=["pid", "n"])
-
-
 def _place(batches: Iterable[pa.RecordBatch], vocabulary: bytes, length: int, starts: dict[int, tuple[int, int]], order: Feistel, per_shard: int) -> Iterator[pa.RecordBatch]:
-    """Every sequence with its slot; tokens are compressed for the shuffle."""
+    """Every sequence with its place in the order; tokens are compressed for the shuffle."""
     pieces = tokenizer(vocabulary)
-    end = np.uint16(pieces.end).tobytes()
-    begin, count = starts.get(TaskContext.get().partitionId(), (0, 0))
+    end = array.array("H", [pieces.end]).tobytes()
+    begin, room = starts.get(TaskContext.get().partitionId(), (0, 0))
     at = begin
     for batch in in_slices(batches):
         rows: list[bytes] = []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        index: list[int] = []
+        for key, text, most in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             tokens = pieces.encode(text) + end
             for part, low in enumerate(range(0, len(tokens), 2 * length)):
                 own = tokens[low : low + 2 * length]
                 rows.append(struct.pack(HEADER, key or 0, part, len(own) // 2, key is not None) + zlib.compress(own, 1))
-        slots = order.slots(np.arange(at, at + len(rows)))
-        at += len(rows)
-        yield pa.RecordBatch.from_arrays([pa.array((slots // per_shard).astype(np.int32)), pa.array(slots), pa.array(rows, pa.binary())], names=["shard", "slot", "record"])
-    if at != begin + count:
+                index.append(at + part)
+            at += most
+        places = order.slots(np.array(index, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array((places // per_shard).astype(np.int32)), pa.array(places), pa.array(rows, pa.binary())], names=["shard", "place", "record"])
+    if at != begin + room:
         raise ValueError("the input gave other rows than when it was counted; write it to a table first")
 
 
 def _expand(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in in_slices(batches):
-        rows = [r[: HEADER_BYTES] + zlib.decompress(r[HEADER_BYTES :]).ljust(2 * length, b"\xff") for r in batch.column(0).to_pylist()]
+        rows = [r[:HEADER_BYTES] + zlib.decompress(r[HEADER_BYTES:]).ljust(2 * length, b"\xff") for r in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["record"])
 
 
-def _records(batches: Iterable[pa.RecordBatch], length: int, per_shard: int, with_tokens: bool) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterable[pa.RecordBatch], length: int, starts: list[int], with_tokens: bool) -> Iterator[pa.RecordBatch]:
     stride = HEADER_BYTES + 2 * length + 1
     layout = np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("n", "<u4"), ("has", "u1"), ("_", "u1", 3), ("tokens", "u1", 2 * length), ("end", "u1")])
     for batch in batches:
@@ -144,20 +148,27 @@ def _records(batches: Iterable[pa.RecordBatch], length: int, per_shard: int, wit
                     raise ValueError(f"shard {shard} has a record without its end")
                 own = [t[: 2 * n].tobytes() for t, n in zip(rows["tokens"], rows["n"].tolist(), strict=True)]
                 at = np.arange(low, low + len(rows), dtype=np.int64)
-                columns = [pa.array(rows["doc_id"], mask=rows["has"] == 0), pa.array(rows["part"].astype(np.int64)), pa.array(shard * per_shard + at), pa.array(np.full(len(rows), shard, np.int32)), pa.array(at * stride), pa.array(rows["n"].astype(np.int64)), pa.array([zlib.crc32(t) for t in own], pa.int64())]
+                columns = [pa.array(rows["doc_id"], mask=rows["has"] == 0), pa.array(rows["part"].astype(np.int64)), pa.array(starts[shard] + at), pa.array(np.full(len(rows), shard, np.int32)), pa.array(at * stride), pa.array(rows["n"].astype(np.int64)), pa.array([zlib.crc32(t) for t in own], pa.int64())]
                 names = ["doc_id", "part", "slot", "shard", "byte_offset", "n_tokens", "tokens_crc32"]
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array([np.frombuffer(t, np.uint16) for t in own], pa.list_(pa.int32()))] if with_tokens else [])], names=names + ["tokens"] * with_tokens)
 
 
-def write_shards(spark: SparkSession, docs: DataFrame, path: str, length: int = 512, shard_bytes: int = 16_000_000, key: int = 0, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> dict:
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    shard = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("int")
+    return spark.read.format("binaryFile").load(f"{path}/shards").withColumn("shard", shard)
+
+
+def write_shards(spark: SparkSession, docs: DataFrame, path: str, length: int = 512, shard_bytes: int = 40_000_000, key: int = 0, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Writes all token sequences of docs to path/shards in training order; returns the manifest, also written.
 
-    A document's tokens and an end token are cut into sequences of `length`, the last one padded. A first pass
-    counts the sequences of each partition; with the offsets, sequence i of all n has the slot that a keyed
-    permutation of range(n) gives it, so the order is random, dense and known without a sort of the corpus. Slots
-    are dealt to shards by range (shard = slot // per_shard) and sorted within their shard; each task writes one
-    shard through Spark's file writer, which commits whole files only and reaches any file system that Spark
-    does. Slot s is record s % per_shard of shard s // per_shard: a reader resumes at that offset.
+    A document's tokens and an end token are cut into sequences of `length`, the last one padded. A token has a
+    byte at least, so the bytes of a text bound its sequences, and Spark's sums of these bounds give every
+    document a range of numbers of its own without tokenizing twice. A keyed permutation of all n numbers gives
+    each sequence its place; equal ranges of places are the shards, sorted by place, and numbers that no sequence
+    has leave no gap in them. So the order is random and needs no sort of the corpus, and slots, counted over the
+    shards' records, are dense. Each task writes one shard through Spark's file writer, which commits whole files
+    only and reaches any file system that Spark does. Slot s is record s - starts[k] of shard k, the last whose
+    start in the manifest is not above s: a reader resumes at that offset.
 
     The vocabulary is read on the driver and broadcast; tokens are 16-bit numbers. Null texts are empty: one
     sequence of the end token. Null ids are marked in the record. Repeated rows are written once each. An empty
@@ -169,16 +180,22 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, length: int =
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     stride = HEADER_BYTES + 2 * length + 1
     per_shard = max(1, shard_bytes // stride)
-    starts, n = {}, 0
-    for pid, k in sorted(tuple(r) for r in rows.mapInArrow(lambda it: _tally(it, words.value, length), "pid long, n long").collect()):
-        starts[pid] = (n, k)
+    rows = rows.withColumn("_most", F.ceil((F.coalesce(F.octet_length("_text"), F.lit(0)) + 1) / length).cast("long"))
+    ranges, n = {}, 0
+    for pid, k in sorted(tuple(r) for r in rows.groupBy(F.spark_partition_id()).agg(F.sum("_most")).collect()):
+        ranges[pid] = (n, k)
         n += k
-    manifest = {"sequences": n, "length": length, "stride": stride, "per_shard": per_shard, "shards": -(-n // per_shard), "key": key, "vocabulary": vocabulary.rpartition("/")[2]}
+    manifest = {"sequences": 0, "length": length, "stride": stride, "starts": [], "key": key, "vocabulary": vocabulary.rpartition("/")[2]}
     if n:
         order = Feistel(n, key)
-        placed = rows.mapInArrow(lambda it: _place(it, words.value, length, starts, order, per_shard), "shard int, slot long, record binary")
-        dealt = placed.repartitionById(manifest["shards"], F.col("shard")).sortWithinPartitions("slot").select("record")
+        # Bounds are about 2.5 times the sequences: shards have shard_bytes at most, mostly less.
+        placed = rows.mapInArrow(lambda it: _place(it, words.value, length, ranges, order, per_shard), "shard int, place long, record binary")
+        shards = -(-n // per_shard)
+        dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("place").select("record")
         dealt.mapInArrow(lambda it: _expand(it, length), "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/shards")
+        for k, size in sorted(tuple(r) for r in _files(spark, path).select("shard", "length").collect()):
+            manifest["starts"] += [manifest["sequences"]] * (k + 1 - len(manifest["starts"]))
+            manifest["sequences"] += size // stride
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{path}/manifest")
     return manifest
 
@@ -192,11 +209,9 @@ def read_shards(spark: SparkSession, path: str, with_tokens: bool = False, first
     schema = "doc_id long, part long, slot long, shard int, byte_offset long, n_tokens long, tokens_crc32 long" + ", tokens array<int>" * with_tokens
     if not manifest["sequences"]:
         return spark.createDataFrame([], schema)
-    length, per_shard = manifest["length"], manifest["per_shard"]
-    files = spark.read.format("binaryFile").load(f"{path}/shards")
-    shard = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("int")
-    files = files.select(shard.alias("shard"), "content").filter(F.col("shard") >= first_slot // per_shard)
-    return files.mapInArrow(lambda it: _records(it, length, per_shard, with_tokens), schema).filter(F.col("slot") >= first_slot)
+    length, starts = manifest["length"], manifest["starts"]
+    files = _files(spark, path).select("shard", "content").filter(F.col("shard") >= bisect.bisect_right(starts, first_slot) - 1)
+    return files.mapInArrow(lambda it: _records(it, length, starts, with_tokens), schema).filter(F.col("slot") >= first_slot)
 
 
 def decode(tokens: list[int], vocabulary: str = VOCABULARY) -> str:
