@@ -46,10 +46,6 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(key_text(column).cast("binary")) % folds
 
 
-def parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def hot_join(big: DataFrame, small: DataFrame, key: str, rows: str, total: int) -> DataFrame:
     """big left join small on key (small has each key once), where small.rows counts the key's rows in big.
 
@@ -97,9 +93,3 @@ def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[p
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-
-
-def with_columns(batch: pa.RecordBatch, keep: list[str], schema: pa.Schema, more: dict) -> pa.RecordBatch:
-    """Columns keep of the batch and the new ones, in the order of schema."""
-    have = {k: batch.column(k) for k in keep} | more
-    return pa.RecordBatch.from_arrays([have[f.name] if isinstance(have[f.name], pa.Array) else pa.array(have[f.name], f.type) for f in schema], schema=schema)

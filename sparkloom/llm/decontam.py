@@ -196,5 +196,4 @@ def _united(rows: DataFrame, found: list[DataFrame], schema: str) -> DataFrame:
         every = every.unionByName(x)
     first = [F.any_value(k).alias(k) for k in keys]
     one = every.groupBy("_at").agg(*first, F.max("n_words").alias("n_words"), F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    typed = schema.replace("spans array<long>", "spans array<long>")
-    return one.drop("_at").select(*keys, "n_words", "spans", "items").mapInArrow(_union_spans, typed)
+    return one.drop("_at").select(*keys, "n_words", "spans", "items").mapInArrow(_union_spans, schema)
