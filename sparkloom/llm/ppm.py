@@ -58,14 +58,14 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(ORDER + 2), len(keys), [None, pa.py_buffer(raw)])
         return pa.RecordBatch.from_arrays([fixed.cast(pa.binary()), pa.array(counts, pa.int64())], names=["key", "n"])
 
-    for batch in in_slices(batches):
+    for batch in in_slices(batches, 500):
         texts = [normalised(t) for t in batch.column(0).to_pylist()]
         for t in texts:
             words.update(t)
         k, c = grams(texts)
         keys, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
         counts = np.bincount(at, weights=np.concatenate([counts, c]), minlength=len(keys)).astype(np.int64)
-        if len(words) > 300_000:
+        if len(words) > 200_000:
             yield out_words()
         if len(keys) > 1_000_000:
             yield out_grams()
@@ -112,7 +112,7 @@ class Trie:
         parent = np.minimum(np.searchsorted(names, parent_key), len(names) - 1)
         last = self.classes[value & 255]
         child = (length > 0) & (names[parent] == parent_key) & (last < len(seen))
-        self.next = np.zeros((len(names), self.width), np.int32)
+        self.next = np.zeros((len(names), self.width), np.uint16 if len(names) <= 65_536 else np.int32)
         for n in range(ORDER + 1):
             own = np.flatnonzero(length == n)
             if n:
