@@ -135,22 +135,19 @@ def _expand(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 
 
 def _records(batches: Iterable[pa.RecordBatch], length: int, starts: list[int], with_tokens: bool) -> Iterator[pa.RecordBatch]:
-    stride = HEADER_BYTES + 2 * length + 1
+    stride, first = HEADER_BYTES + 2 * length + 1, np.array(starts, np.int64)
     layout = np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("n", "<u4"), ("has", "u1"), ("_", "u1", 3), ("tokens", "u1", 2 * length), ("end", "u1")])
-    for batch in batches:
-        for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            view = memoryview(content.as_buffer())
-            if len(view) % stride:
-                raise ValueError(f"shard {shard} is not a whole number of records")
-            for low in range(0, len(view) // stride, 2000):
-                rows = np.frombuffer(view, layout, min(2000, len(view) // stride - low), low * stride)
-                if (rows["end"] != 10).any():
-                    raise ValueError(f"shard {shard} has a record without its end")
-                own = [t[: 2 * n].tobytes() for t, n in zip(rows["tokens"], rows["n"].tolist(), strict=True)]
-                at = np.arange(low, low + len(rows), dtype=np.int64)
-                columns = [pa.array(rows["doc_id"], mask=rows["has"] == 0), pa.array(rows["part"].astype(np.int64)), pa.array(starts[shard] + at), pa.array(np.full(len(rows), shard, np.int32)), pa.array(at * stride), pa.array(rows["n"].astype(np.int64)), pa.array([zlib.crc32(t) for t in own], pa.int64())]
-                names = ["doc_id", "part", "slot", "shard", "byte_offset", "n_tokens", "tokens_crc32"]
-                yield pa.RecordBatch.from_arrays([*columns, *([pa.array([np.frombuffer(t, np.uint16) for t in own], pa.list_(pa.int32()))] if with_tokens else [])], names=names + ["tokens"] * with_tokens)
+    for batch in in_slices(batches, 2000):
+        shard, at, records = batch.column(0), batch.column(1).to_numpy().astype(np.int64), batch.column(2).to_pylist()
+        if any(len(r) != stride for r in records):
+            raise ValueError("a shard is not a whole number of records")
+        rows = np.frombuffer(b"".join(records), layout)
+        if (rows["end"] != 10).any():
+            raise ValueError("a shard has a record without its end")
+        own = [t[: 2 * n].tobytes() for t, n in zip(rows["tokens"], rows["n"].tolist(), strict=True)]
+        columns = [pa.array(rows["doc_id"], mask=rows["has"] == 0), pa.array(rows["part"].astype(np.int64)), pa.array(first[shard.to_numpy()] + at), shard, pa.array(at * stride), pa.array(rows["n"].astype(np.int64)), pa.array([zlib.crc32(t) for t in own], pa.int64())]
+        names = ["doc_id", "part", "slot", "shard", "byte_offset", "n_tokens", "tokens_crc32"]
+        yield pa.RecordBatch.from_arrays([*columns, *([pa.array([np.frombuffer(t, np.uint16) for t in own], pa.list_(pa.int32()))] if with_tokens else [])], names=names + ["tokens"] * with_tokens)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -209,9 +206,13 @@ def read_shards(spark: SparkSession, path: str, with_tokens: bool = False, first
     schema = "doc_id long, part long, slot long, shard int, byte_offset long, n_tokens long, tokens_crc32 long" + ", tokens array<int>" * with_tokens
     if not manifest["sequences"]:
         return spark.createDataFrame([], schema)
-    length, starts = manifest["length"], manifest["starts"]
-    files = _files(spark, path).select("shard", "content").filter(F.col("shard") >= bisect.bisect_right(starts, first_slot) - 1)
-    return files.mapInArrow(lambda it: _records(it, length, starts, with_tokens), schema).filter(F.col("slot") >= first_slot)
+    length, stride, starts = manifest["length"], manifest["stride"], manifest["starts"]
+    files = _files(spark, path).filter((F.col("shard") >= bisect.bisect_right(starts, first_slot) - 1) & (F.col("length") > 0))
+    # Whole shards would meet in one Arrow batch; cut into records they come in batches of a few MB.
+    places = F.sequence(F.lit(0), (F.ceil(F.col("length") / stride) - 1).cast("int"))
+    cut = F.transform(places, lambda i: F.substring("content", i * stride + 1, F.lit(stride)))
+    records = files.select("shard", F.posexplode(cut).alias("at", "record"))
+    return records.mapInArrow(lambda it: _records(it, length, starts, with_tokens), schema).filter(F.col("slot") >= first_slot)
 
 
 def decode(tokens: list[int], vocabulary: str = VOCABULARY) -> str:
