@@ -20,7 +20,7 @@ WORD = re.compile(r"[^\W\d_]+")
 class Model:
     """Log frequencies by language of words, and of n-grams for words that are not known."""
 
-    def __init__(self, langs: list[str], documents: list[int], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], cache: int = 200_000) -> None:
+    def __init__(self, langs: list[str], documents: list[int], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], cache: int = 50_000) -> None:
         self.langs, self.cache = langs, cache
         self.prior = int(np.argmax(documents)) if langs else 0
         self.words = {w: i for i, w in enumerate(words)}

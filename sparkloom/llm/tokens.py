@@ -23,7 +23,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the published pattern that splits text before byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces of text whose tokens a worker remembers at most.
-CACHE = 200_000
+CACHE = 100_000
 #: doc_id, part, number of tokens, whether there is a doc_id; then the tokens, and a line feed that ends the record.
 HEADER = "<qIIB3x"
 HEADER_BYTES = struct.calcsize(HEADER)
