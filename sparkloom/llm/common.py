@@ -89,7 +89,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of few rows, so that what is made of a batch stays small."""
+    """Arrow batches of few rows, so that what is made of a batch stays small.
+
+    At the end the memory pool gives back what it holds: workers are kept for the tasks of later stages.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
