@@ -210,8 +210,9 @@ def read_shards(spark: SparkSession, path: str, with_tokens: bool = False, first
     files = _files(spark, path).filter((F.col("shard") >= bisect.bisect_right(starts, first_slot) - 1) & (F.col("length") > 0))
     # Whole shards would meet in one Arrow batch; cut into records they come in batches of a few MB.
     places = F.sequence(F.lit(0), (F.ceil(F.col("length") / stride) - 1).cast("int"))
-    cut = F.transform(places, lambda i: F.substring("content", i * stride + 1, F.lit(stride)))
-    records = files.select("shard", F.posexplode(cut).alias("at", "record"))
+    # The lambda's c is the shard itself; a column named inside the inner one would be copied for each record.
+    cut = F.transform(F.array("content"), lambda c: F.transform(places, lambda i: F.substring(c, i * stride + 1, F.lit(stride))))
+    records = files.select("shard", F.posexplode(F.flatten(cut)).alias("at", "record"))
     return records.mapInArrow(lambda it: _records(it, length, starts, with_tokens), schema).filter(F.col("slot") >= first_slot)
 
 
