@@ -271,6 +271,28 @@ def test_trie_is_a_distribution_and_scores_as_by_hand():
     assert np.allclose(trie.score(new), want, rtol=1e-4)
 
 
+def test_lm_scores_use_every_context(spark):
+    alphabet = list("abcdefghijklmnopqrstuvwxyz0123456789ABé字")
+    texts = ["".join(rng.choice(alphabet, 8)) + " " + "".join(rng.choice(alphabet[:6], 40)) for _ in range(2500)] + ["", "zz  zz"]
+    train = texts[:2000]
+    asked = [*texts[1900:2100], *texts[-2:], None, "\x01\x02 ~~~ never", "abc " * 300]
+    keys, counts = ppm.grams([ppm.normalised(t.encode()) for t in train])
+    table = Counter()
+    for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
+        run = k.to_bytes(ppm.ORDER + 1)
+        for o in range(ppm.ORDER + 1):
+            table[run[ppm.ORDER - o : -1], run[-1]] += c
+    trie = ppm.Trie(np.array([ppm.context_key(c) for c, _ in table]), np.array([s for _, s in table]), np.array(list(table.values())))
+    assert len({c for c, _ in table}) > 49_152
+    want = trie.score([ppm.normalised(t and t.encode()) for t in asked])
+    model = spark.createDataFrame([(i, t) for i, t in enumerate(train)], "doc_id long, text string")
+    new = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    few = {r.doc_id: r.score for r in ppm.lm_scores(spark, new, model, frequent_runs=100).collect()}
+    assert np.allclose([few[i] for i in range(len(asked))], want, rtol=1e-5)
+    all_held = {r.doc_id: r.score for r in ppm.lm_scores(spark, new, model).collect()}
+    assert np.allclose([all_held[i] for i in range(len(asked))], want, rtol=1e-5)
+
+
 def test_token_round_trip(spark, docs, tmp_path):
     path = str(tmp_path / "out")
     manifest = tokens.write_shards(spark, docs, path, length=16, shard_bytes=2000, key=3)
