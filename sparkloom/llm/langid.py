@@ -86,11 +86,12 @@ def _grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             padded = f" {word} "
             for size in range(1, LONGEST + 1):
                 text = padded if size > 1 else word
-                for i in range(len(text) - size + 1):
-                    key = (lang, text[i : i + size])
-                    total[key] = total.get(key, 0) + n
-        if len(total) > 300_000:
-            yield out()
+                for at in range(0, len(text) - size + 1, 50_000):
+                    for i in range(at, min(at + 50_000, len(text) - size + 1)):
+                        key = (lang, text[i : i + size])
+                        total[key] = total.get(key, 0) + n
+                    if len(total) > 300_000:  # also within a long word
+                        yield out()
     if total:
         yield out()
 
@@ -127,7 +128,7 @@ def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col:
     counts = chosen.select("lang", word).groupBy("lang", "word").agg(F.count("*").alias("n"))
     counts = counts.persist()
     words = _most(counts, "word", langs, MAX_WORDS)
-    grams = counts.select("lang", F.substring("word", 1, 64).alias("word"), "n").mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
+    grams = counts.select("lang", "word", "n").mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
     model = Model(langs, list(sizes.values()), words, _most(grams, "gram", langs, MAX_NGRAMS))
     grams.unpersist()
     counts.unpersist()

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,8 +273,9 @@ def test_trie_is_a_distribution_and_scores_as_by_hand():
 
 
 def test_lm_scores_use_every_context(spark):
+    own = np.random.default_rng(6)
     alphabet = list("abcdefghijklmnopqrstuvwxyz0123456789ABé字")
-    texts = ["".join(rng.choice(alphabet, 8)) + " " + "".join(rng.choice(alphabet[:6], 40)) for _ in range(2500)] + ["", "zz  zz"]
+    texts = ["".join(own.choice(alphabet, 8)) + " " + "".join(own.choice(alphabet[:6], 40)) for _ in range(2500)] + ["", "zz  zz"]
     train = texts[:2000]
     asked = [*texts[1900:2100], *texts[-2:], None, "\x01\x02 ~~~ never", "abc " * 300]
     keys, counts = ppm.grams([ppm.normalised(t.encode()) for t in train])
@@ -338,6 +340,17 @@ def test_language_id(spark, docs):
     assert langid.identify(spark, docs.limit(0), model).count() == 0
 
 
+def test_language_id_counts_ngrams_of_whole_words(spark):
+    rows = [(i, "a" * 70 + ("bc" if i % 2 else "de") * 20, "xy"[i % 2]) for i in range(4)]
+    model = langid.fit(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.predict("bcbcbc")[0] == "y" and model.predict("dedede")[0] == "x"
+    long = "".join(map(chr, np.random.default_rng(8).integers(0x4E00, 0x9000, 150_000)))
+    batch = pa.RecordBatch.from_pydict({"lang": ["z"], "word": [long], "n": [2]})
+    got = list(langid._grams([batch]))
+    assert len(got) > 1 and max(b.num_rows for b in got) <= 350_000
+    assert sum(sum(b.column(2).to_pylist()) for b in got) == 2 * sum(len(long) + (2 if n > 1 else 0) - n + 1 for n in range(1, 5))
+
+
 def test_toxicity(spark, docs):
     bad = ["idiotto", "moronik", "scumly"]
     rows = [(i, say(30) + (" " + bad[i % 3] if i % 4 == 0 else "")) for i in range(600)]
