@@ -5,39 +5,57 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import in_slices
 
 #: Labelled documents of each language that a model is fitted on (documented bound of the sample).
 SAMPLE = 8000
-#: Words and n-grams that a model keeps at most, the most frequent ones: the bound of what is broadcast.
-MAX_WORDS, MAX_NGRAMS, LONGEST = 120_000, 60_000, 4
+#: Characters of the longest n-gram.
+LONGEST = 4
 WORD = re.compile(r"[^\W\d_]+")
 
 
+class Counts:
+    """Keys with their counts by language; keys of the same kind with the same counts share a row."""
+
+    def __init__(self, rows: Iterable[tuple[str, int, str]] = (), langs: int = 0) -> None:
+        """Rows of a key, its kind, and its counts as text: place of the language, `:` and count, with `,` between."""
+        self.keys: dict[str, int] = {}
+        at: dict[tuple[int, str], int] = {}
+        times: list[int] = []
+        for key, kind, counts in rows:
+            row = self.keys[key] = at.setdefault((kind, counts), len(at))
+            if row == len(times):
+                times.append(0)
+            times[row] += 1
+        self.times, self.kinds = np.array(times, np.float64), np.array([k for k, _ in at], np.int64)
+        self.rows = np.zeros((len(at), langs))
+        for (_, counts), row in at.items():
+            for place, n in (x.split(":") for x in counts.split(",")):
+                self.rows[row, int(place)] = int(n)
+
+
 class Model:
     """Log frequencies by language of words, and of n-grams for words that are not known."""
 
-    def __init__(self, langs: list[str], documents: list[int], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], cache: int = 50_000) -> None:
+    def __init__(self, langs: list[str], documents: list[int], words: "Counts", grams: "Counts", cache: int = 50_000) -> None:
         self.langs, self.cache = langs, cache
         self.prior = int(np.argmax(documents)) if langs else 0
-        self.words = {w: i for i, w in enumerate(words)}
-        self.scores = self._log(np.array(list(words.values()), np.float64).reshape(len(words), len(langs)))
-        self.grams = {g: i for i, g in enumerate(grams)}
-        counts = np.array(list(grams.values()), np.float64).reshape(len(grams), len(langs))
-        lengths = np.array([len(g) for g in grams], np.int64)
-        self.gram_scores = np.zeros_like(counts)
+        self.words, self.scores = words.keys, self._log(words.rows, words.times)
+        self.grams = grams.keys
+        self.gram_scores = np.zeros_like(grams.rows)
         for n in range(1, LONGEST + 1):  # frequencies among n-grams of the same length
-            self.gram_scores[lengths == n] = self._log(counts[lengths == n])
+            at = grams.kinds == n
+            self.gram_scores[at] = self._log(grams.rows[at], grams.times[at])
         self.seen: dict[str, np.ndarray] = {}
 
     @staticmethod
-    def _log(counts: np.ndarray) -> np.ndarray:
+    def _log(counts: np.ndarray, times: np.ndarray) -> np.ndarray:
         if not counts.size:
             return counts
-        logs = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(counts)))
+        logs = np.log((counts + 0.5) / ((counts * times[:, None]).sum(axis=0) + 0.5 * times.sum()))
         return logs - logs.max(axis=1, keepdims=True)
 
     def unknown(self, word: str) -> np.ndarray:
@@ -96,40 +114,32 @@ def _grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _most(counts: DataFrame, key: str, langs: list[str], limit: int) -> dict[str, np.ndarray]:
-    """The most frequent keys with their counts by language: a share of the limit for each language."""
-    place = {x: i for i, x in enumerate(langs)}
-    out: dict[str, np.ndarray] = {}
-    for lang in langs:
-        for r in counts.filter(F.col("lang") == lang).orderBy(F.desc("n"), key).limit(max(1, limit // len(langs))).select(key).toLocalIterator():
-            out[r[0]] = np.zeros(len(langs))
-    if out:
-        spark = counts.sparkSession
-        kept = spark.createDataFrame([(k,) for k in out], f"{key} string")
-        for lang, k, n in counts.join(F.broadcast(kept), key).select("lang", key, "n").toLocalIterator():
-            out[k][place[lang]] = n
-    return out
+def _gathered(counts: DataFrame, key: str, kind: Column, langs: list[str]) -> Counts:
+    """All keys with their counts by language."""
+    place = F.element_at(F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)]), F.col("lang"))
+    text = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", place, F.col("n")))), ",")
+    return Counts(((r[0], r[1], r[2]) for r in counts.groupBy(key).agg(kind, text).toLocalIterator()), len(langs))
 
 
 def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
     """Fits on about so many labelled documents of each language, chosen by a hash of the id.
 
-    Rows without text or language are left out. Words and n-grams are counted by Spark; at most MAX_WORDS and
-    MAX_NGRAMS of the most frequent come to the driver, a share for each language.
+    Rows without text or language are left out. Words and n-grams are counted by Spark; all of the sample's come to
+    the driver: the sample alone bounds the model.
     """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.lit("langid"), F.col(id_col)), F.lit(1_000_000)).alias("_u"))
     sizes = dict(sorted((r[0], r[1]) for r in labelled.groupBy("lang").count().collect()))
     langs = list(sizes)
     if not langs:
-        return Model([], [], {}, {})
+        return Model([], [], Counts(), Counts())
     share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(1_000_000 * min(1.0, sample / n))))]), F.col("lang"))
     chosen = labelled.filter(F.col("_u") < share)
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W\d_]+"), F.lit(0))).alias("word")
     counts = chosen.select("lang", word).groupBy("lang", "word").agg(F.count("*").alias("n"))
     counts = counts.persist()
-    words = _most(counts, "word", langs, MAX_WORDS)
+    words = _gathered(counts, "word", F.lit(0), langs)
     grams = counts.select("lang", "word", "n").mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
-    model = Model(langs, list(sizes.values()), words, _most(grams, "gram", langs, MAX_NGRAMS))
+    model = Model(langs, list(sizes.values()), words, _gathered(grams, "gram", F.length("gram"), langs))
     grams.unpersist()
     counts.unpersist()
     return model

@@ -351,6 +351,27 @@ def test_language_id_counts_ngrams_of_whole_words(spark):
     assert sum(sum(b.column(2).to_pylist()) for b in got) == 2 * sum(len(long) + (2 if n > 1 else 0) - n + 1 for n in range(1, 5))
 
 
+def test_language_id_keeps_all_words_and_ngrams(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d for a in letters[:4] for b in letters for c in letters for d in letters]
+    rows = [(1, " ".join(words), "x"), (2, " ".join(w + "é" for w in words), "y"), (3, "aaaa aaaa", "y")]
+    model = langid.fit(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    grams = [Counter(), Counter()]
+    for at, ws in ((0, words), (1, [w + "é" for w in words] + ["aaaa", "aaaa"])):
+        for w in ws:
+            for n in range(1, 5):
+                t = f" {w} " if n > 1 else w
+                grams[at].update(t[i : i + n] for i in range(len(t) - n + 1))
+    assert set(model.words) == {*words, *(w + "é" for w in words)} and set(model.grams) == {*grams[0], *grams[1]}
+    v, total = len(model.words), np.array([len(words), len(words) + 2])
+    want = np.log((np.array([1, 2]) + 0.5) / (total + 0.5 * v))
+    assert np.allclose(model.scores[model.words["aaaa"]], want - want.max())
+    for n in range(1, 5):
+        own = {g: np.array([grams[0][g], grams[1][g]]) for g in model.grams if len(g) == n}
+        logs = np.log((np.array(list(own.values())) + 0.5) / (np.sum(list(own.values()), axis=0) + 0.5 * len(own)))
+        assert np.allclose([model.gram_scores[model.grams[g]] for g in own], logs - logs.max(axis=1, keepdims=True))
+
+
 def test_toxicity(spark, docs):
     bad = ["idiotto", "moronik", "scumly"]
     rows = [(i, say(30) + (" " + bad[i % 3] if i % 4 == 0 else "")) for i in range(600)]
