@@ -67,14 +67,26 @@ def init_table(spark: SparkSession, table: str) -> None:
 
 
 def save(spark: SparkSession, rows: DataFrame, table: str) -> None:
-    """Appends valid rows with ids that follow the largest one; one writer at a time."""
-    from pyspark.sql import Window
+    """Appends valid rows with consecutive ids in the order of ts that follow the largest one; one writer at a time.
 
+    Rows are range partitioned and numbered there, the counts of the partitions give the offsets. The partitions
+    are kept until the end, as another reading would sample other bounds.
+    """
     spark.catalog.refreshTable(table)
     last = spark.table(table).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    stored = with_defaults(rows)
-    numbered = stored.withColumn("id", F.row_number().over(Window.orderBy("ts", *schemas.RATING_COLUMNS)) + F.lit(last)) if stored.limit(100_001).count() <= 100_000 else stored.withColumn("id", F.monotonically_increasing_id() + last + 1)
-    numbered.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RATING_TABLE]).write.insertInto(table)
+    order = ["ts", *schemas.RATING_COLUMNS]
+    placed = with_defaults(rows).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()).persist()
+    try:
+        pid = F.shiftright("_mid", 33)
+        offsets, before = [], last
+        for p, n in sorted(tuple(r) for r in placed.groupBy(pid.alias("p")).count().collect()):
+            offsets.append((p, before))
+            before += n
+        at = placed.sparkSession.createDataFrame(offsets, "_pid long, _before long")
+        numbered = placed.withColumn("_pid", pid).join(F.broadcast(at), "_pid").withColumn("id", F.col("_mid").bitwiseAND((1 << 33) - 1) + F.col("_before") + 1)
+        numbered.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RATING_TABLE]).write.insertInto(table)
+    finally:
+        placed.unpersist()
 
 
 def find_all(spark: SparkSession, table: str) -> DataFrame:

@@ -52,6 +52,18 @@ def test_table(spark):
     assert feedback.find_all(spark, "old_rating").first().suggestion_type == "realtime"
 
 
+def test_large_batches_get_consecutive_ids(spark):
+    spark.sql("drop table if exists large_rating")
+    feedback.init_table(spark, "large_rating")
+    n = 120_000
+    place = (F.col("id") * 7919) % n  # the order of ts
+    rows = spark.range(n).select(place.cast("string").alias("prefix"), F.lit("x").alias("suffix"), F.lit("s").alias("suggestion"), F.lit(1).alias("rating"), F.lit("realtime").alias("suggestion_type"), F.lit(True).alias("accepted"), F.date_format(F.timestamp_seconds(place + 1_700_000_000), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("timestamp"))
+    for done in (0, n):
+        feedback.save(spark, rows, "large_rating")
+        got = spark.table("large_rating").filter(F.col("id") > done)
+        assert got.count() == n and got.filter(F.col("id") - done - 1 != F.col("prefix").cast("long")).isEmpty()
+
+
 def test_queue(spark):
     rows = spark.createDataFrame([(1, "", 1, "realtime"), (2, "s", 1, "realtime"), (3, "s", None, "realtime")], "k int, suggestion string, rating int, suggestion_type string")
     got = feedback.flush(rows, spark.createDataFrame([(3,), (3,)], "k int"), "k").collect()
