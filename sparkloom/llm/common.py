@@ -1,5 +1,7 @@
 """What several operators share: the shared folder, fold numbers, joins with hot keys, components."""
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -9,16 +11,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
+_WRITTEN: list[str] = []
 
 #: At most this many keys can each hold 1/HOT_KEYS of all rows, so that a table of them may be broadcast.
 HOT_KEYS = 1000
+#: Bytes of an Arrow batch on its way to a Python worker; a single longer row is a batch of its own.
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none, as in tests."""
+    """The folder that all executors share, as spark.checkpoint.dir names it.
+
+    A session that names none gets a temporary folder if it runs in one process, as in tests; on a cluster each
+    executor would write to its own disk, so that is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append("file://" + tempfile.mkdtemp(prefix="sparkloom-"))
     return _LOCAL[0]
@@ -26,7 +38,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/sparkloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/sparkloom/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by BATCH_BYTES for what the session runs from here on: 10,000 long texts are no batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def mark() -> int:
+    """How many scratch paths there are; what is written from here on can be discarded."""
+    return len(_WRITTEN)
+
+
+def discard(spark: SparkSession, since: int, until: int | None = None) -> None:
+    """Deletes the scratch paths written since a mark, whose results have been written or consumed elsewhere."""
+    for path in _WRITTEN[since:until]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del _WRITTEN[since:until]
 
 
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -46,6 +78,11 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(key_text(column).cast("binary")) % folds
 
 
+def hash_bound(wanted: int, rows: int) -> int:
+    """The largest of 63-bit hashes with which about so many of the rows are chosen."""
+    return ((1 << 63) - 1) * min(wanted, rows) // rows
+
+
 def hot_join(big: DataFrame, small: DataFrame, key: str, rows: str, total: int) -> DataFrame:
     """big left join small on key (small has each key once), where small.rows counts the key's rows in big.
 
@@ -71,29 +108,45 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, label) of all nodes of edges (a, b): label is the smallest node that can be reached.
 
     Each round takes the smallest label among neighbours, then the label of that label; every round is
-    written to the shared folder, and rounds end when no label has changed.
+    written to the shared folder, and rounds end when no label has changed; the labels of the round before are
+    deleted then. A large component has one label and a hub many neighbours: these are inner joins of narrow rows
+    with a table of unique keys, whose skewed partitions adaptive execution splits.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a <> b").distinct()
+    edges_at = mark()
     both = materialise(spark, both, "edges")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
     labels = materialise(spark, labels, "labels")
+    before = mark() - 1
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         new = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
         new = new.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("label"))
         new = materialise(spark, new, "labels")
-        labels = new.select("node", "label")
-        if new.filter("label < old").isEmpty():
+        labels, ended = new.select("node", "label"), new.filter("label < old").isEmpty()
+        discard(spark, before, before + 1)
+        if ended:
+            discard(spark, edges_at, edges_at + 1)
             return labels
+        before = mark() - 1
 
 
 def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of few rows, so that what is made of a batch stays small.
-
-    At the end the memory pool gives back what it holds: workers are kept for the tasks of later stages.
-    """
+    """Arrow batches of few rows, so that what is made of a batch stays small; memory is given back at the end."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns what is free to the system: workers are kept for the tasks of later stages.
+
+    Arrow's pool and the C library's heap (where it is glibc's) hold on to freed memory otherwise.
+    """
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
