@@ -1,17 +1,20 @@
 """Language ID by word-first backoff to character n-grams."""
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices
+from .common import give_back, hash_bound, materialise, small_batches
 
 #: Labelled documents of each language that a model is fitted on (documented bound of the sample).
 SAMPLE = 8000
+#: Languages that a model has at most.
+LANGUAGES = 1000
 #: Characters of the longest n-gram.
 LONGEST = 4
 WORD = re.compile(r"[^\W\d_]+")
@@ -37,6 +40,29 @@ class Counts:
                 self.rows[row, int(place)] = int(n)
 
 
+class Rows(dict):
+    """Words with their row in a table of scores. Words that are not there are scored when first asked for; beyond
+    so many of them their rows are used anew."""
+
+    def __init__(self, words: dict[str, int], scores: np.ndarray, unknown: Callable[[str], np.ndarray], cache: int) -> None:
+        super().__init__(words)
+        self.table, self.first, self.unknown = np.concatenate([scores, np.zeros((cache, scores.shape[1]))]), len(scores), unknown
+        self.added: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = self.first + len(self.added)
+        self.added.append(word)
+        self.table[row] = self.unknown(word)
+        return row
+
+    def make_room(self, words: int) -> None:
+        """Forgets the added words if there may be no room for so many more."""
+        if len(self.added) + words > len(self.table) - self.first:
+            for word in self.added:
+                del self[word]
+            self.added.clear()
+
+
 class Model:
     """Log frequencies by language of words, and of n-grams for words that are not known."""
 
@@ -49,7 +75,10 @@ class Model:
         for n in range(1, LONGEST + 1):  # frequencies among n-grams of the same length
             at = grams.kinds == n
             self.gram_scores[at] = self._log(grams.rows[at], grams.times[at])
-        self.seen: dict[str, np.ndarray] = {}
+        self.rows: Rows | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rows": None}
 
     @staticmethod
     def _log(counts: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -60,33 +89,50 @@ class Model:
 
     def unknown(self, word: str) -> np.ndarray:
         """Scores of an unseen word: its known n-grams of the longest length that has any."""
-        got = self.seen.get(word)
-        if got is None:
-            got, padded = np.zeros(len(self.langs)), f" {word} "
-            for n in range(LONGEST, 0, -1):
-                text = padded if n > 1 else word
-                rows = [r for r in (self.grams.get(text[i : i + n]) for i in range(len(text) - n + 1)) if r is not None]
-                if rows:
-                    got = self.gram_scores[rows].mean(axis=0)
-                    break
-            if len(self.seen) >= self.cache:
-                self.seen.clear()
-            self.seen[word] = got
-        return got
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        found = WORD.findall(text.lower()) if text else []
-        if not self.langs or not found or not any(c.isalpha() for c in text):
-            return "und", 0.0
-        rows = np.fromiter(map(self.words.get, found, (-1 for _ in found)), np.int64, len(found))
-        known = rows[rows >= 0]
-        total = self.scores[known].sum(axis=0)
-        if len(known) < len(found):
-            total = total + sum(self.unknown(found[i]) for i in np.flatnonzero(rows < 0).tolist())
-        if total.max() == total.min():
-            return self.langs[self.prior], 1.0 / len(self.langs)
-        odds = np.exp(total - total.max())
-        return self.langs[int(np.argmax(total))], float(odds.max() / odds.sum())
+        padded = f" {word} "
+        for n in range(LONGEST, 0, -1):
+            text = padded if n > 1 else word
+            rows = [r for r in map(self.grams.get, (text[i : i + n] for i in range(len(text) - n + 1))) if r is not None]
+            if rows:
+                return self.gram_scores[rows].mean(axis=0)
+        return np.zeros(len(self.langs))
+
+    def totals(self, texts: list[list[str]]) -> np.ndarray:
+        """The sum of the scores of each text's words; every text has some. At most `cache` words are looked up at once."""
+        if self.rows is None:
+            self.rows = Rows(self.words, self.scores, self.unknown, self.cache)
+        total, at = np.zeros((len(texts), len(self.langs))), 0
+        while at < len(texts):
+            to, n = at + 1, len(texts[at])
+            while to < len(texts) and n + len(texts[to]) <= self.cache:
+                n += len(texts[to])
+                to += 1
+            if to == at + 1:  # perhaps a very long text, in pieces
+                for low in range(0, n, self.cache):
+                    total[at] += self._looked_up(texts[at][low : low + self.cache]).sum(axis=0)
+            else:
+                starts = np.cumsum([0, *map(len, texts[at : to - 1])])
+                total[at:to] = np.add.reduceat(self._looked_up(list(chain.from_iterable(texts[at:to]))), starts)
+            at = to
+        return total
+
+    def _looked_up(self, words: list[str]) -> np.ndarray:
+        self.rows.make_room(len(words))
+        return self.rows.table[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        found = [WORD.findall(t.lower()) if t and self.langs else [] for t in texts]
+        some = [i for i, w in enumerate(found) if w]
+        total = self.totals([found[i] for i in some])
+        best = total.argmax(axis=1) if len(some) else np.zeros(0, np.int64)
+        odds = np.exp(total - total.max(axis=1, keepdims=True, initial=-np.inf))
+        share = 1.0 / odds.sum(axis=1)
+        out = [("und", 0.0)] * len(texts)
+        for i, k, x, level in zip(some, best.tolist(), share.tolist(), (total == total[:, :1]).all(axis=1).tolist(), strict=True):
+            if any(map(str.isalpha, texts[i])):
+                out[i] = (self.langs[self.prior], 1.0 / len(self.langs)) if level else (self.langs[k], x)
+        return out
 
 
 def _grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,34 +167,44 @@ def _gathered(counts: DataFrame, key: str, kind: Column, langs: list[str]) -> Co
     return Counts(((r[0], r[1], r[2]) for r in counts.groupBy(key).agg(kind, text).toLocalIterator()), len(langs))
 
 
-def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
+def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE, most_langs: int = LANGUAGES) -> Model:
     """Fits on about so many labelled documents of each language, chosen by a hash of the id.
 
     Rows without text or language are left out. Words and n-grams are counted by Spark; all of the sample's come to
-    the driver: the sample alone bounds the model.
+    the driver: the sample alone bounds the model. A column with more than most_langs languages is no column of
+    languages and raises ValueError.
     """
-    labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.lit("langid"), F.col(id_col)), F.lit(1_000_000)).alias("_u"))
-    sizes = dict(sorted((r[0], r[1]) for r in labelled.groupBy("lang").count().collect()))
+    labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.lit("langid"), F.col(id_col)).bitwiseAND((1 << 63) - 1).alias("_u"))
+    sizes = dict(sorted((r[0], r[1]) for r in labelled.groupBy("lang").count().limit(most_langs + 1).collect()))
     langs = list(sizes)
+    small_batches(spark)
+    if len(langs) > most_langs:
+        raise ValueError(f"more than {most_langs} languages")
     if not langs:
         return Model([], [], Counts(), Counts())
-    share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(1_000_000 * min(1.0, sample / n))))]), F.col("lang"))
-    chosen = labelled.filter(F.col("_u") < share)
+    share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(hash_bound(sample, n)))]), F.col("lang"))
+    chosen = labelled.filter(F.col("_u") <= share)
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W\d_]+"), F.lit(0))).alias("word")
     counts = chosen.select("lang", word).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    counts = counts.persist()
+    counts = materialise(spark, counts, "words")
     words = _gathered(counts, "word", F.lit(0), langs)
-    grams = counts.select("lang", "word", "n").mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
-    model = Model(langs, list(sizes.values()), words, _gathered(grams, "gram", F.length("gram"), langs))
-    grams.unpersist()
-    counts.unpersist()
-    return model
+    grams = counts.select("lang", "word", "n").mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return Model(langs, list(sizes.values()), words, _gathered(grams, "gram", F.length("gram"), langs))
+
 
+def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """The model as a function of a text column: struct(lang_pred, score). Other columns of a row stay in the JVM."""
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
 
-def _predict(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in in_slices(batches):
-        got = [model.predict(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
+    def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            got = [x for at in range(0, len(texts), 1000) for x in shared.value.predict(texts.slice(at, 1000).to_pylist())]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=["lang_pred", "score"])
+        give_back()
+
+    # Not to be computed again for each use of the result.
+    return F.arrow_udf(detect, "lang_pred string, score double").asNondeterministic()
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -160,8 +216,5 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, keep: tuple[str
     the language with most documents. Equal scores go to the first language by code point. Repeated rows keep a
     row each; empty tables give empty ones; columns that are not named are not read, and the text may also be kept.
     """
-    shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    schema = ", ".join([f"`_k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)] + ["lang_pred string", "score double"])
-    out = rows.mapInArrow(lambda it: _predict(it, shared.value), schema)
-    return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], detector(spark, model)(F.col(text_col).cast("string")).alias("_found"))
+    return rows.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "_found.lang_pred", "_found.score")
