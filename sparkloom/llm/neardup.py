@@ -5,16 +5,17 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, hot_join, in_slices, materialise
+from .common import components, hot_join, in_slices, materialise, small_batches
 
 #: Coordinates of a sketch and bands of BINS / BANDS coordinates. At a similarity of 0.8 a pair shares no band with
 #: a chance of (1 - 0.8 ** 8) ** 64, less than 1 in 100,000.
 BINS, BANDS = 512, 64
-#: Sets and shingles in all that a block of a candidate cluster holds, about; two blocks meet in one task.
-BLOCK_SETS, BLOCK_SHINGLES = 512, 400_000
+#: Sets and shingles in all that a block of a candidate cluster holds, about; two blocks meet in one task. Clusters
+#: of more than WHOLE blocks are not compared all with all.
+BLOCK_SETS, BLOCK_SHINGLES, WHOLE = 512, 400_000, 16
 #: Ids of candidates that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -149,29 +150,81 @@ def _forest(link: np.ndarray, left: list[int], right: list[int]) -> list[tuple[i
 
 
 def _verify(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Exact links within each (cluster, block, block) run of sorted rows."""
+    """Exact links within each (cluster, block, block) run of sorted rows: of the sets of side 0 with those of side 1,
+    or among those of side 0 where there is no other."""
 
-    def found(key: tuple, rows: dict[int, tuple[int, bytes]]) -> list[tuple[int, int]]:
-        if len(rows) < 2:
-            return []
-        a = {c: np.frombuffer(s, np.uint64) for c, (b, s) in rows.items() if b == key[1]}
-        b = a if key[1] == key[2] else {c: np.frombuffer(s, np.uint64) for c, (b, s) in rows.items() if b == key[2]}
-        return _forest(linked(list(a.values()), list(b.values()), percent), list(a), list(b)) if a and b else []
+    def found(sides: tuple[dict[int, bytes], dict[int, bytes]]) -> list[tuple[int, int]]:
+        a, b = ({c: np.frombuffer(s, np.uint64) for c, s in x.items()} for x in sides)
+        b = b or a
+        return _forest(linked(list(a.values()), list(b.values()), percent), list(a), list(b)) if a and len(a | b) > 1 else []
 
-    now, rows, out = None, {}, []
+    now, sides, out = None, ({}, {}), []
     for batch in batches:
-        for *key, cid, block, items in zip(*(batch.column(c).to_pylist() for c in ("_clu", "_i", "_k", "cid", "_blk", "_items")), strict=True):
+        for *key, side, cid, items in zip(*(batch.column(c).to_pylist() for c in ("_clu", "_i", "_k", "_side", "cid", "_items")), strict=True):
             if key != now:
-                out += found(now, rows) if now else []
-                now, rows = key, {}
-            rows[cid] = (block, items)
+                out += found(sides)
+                now, sides = key, ({}, {})
+            sides[side][cid] = items
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], names=["a", "b"])
             out = []
-    out = found(now, rows) if now else []
+    out = found(sides)
     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], names=["a", "b"])
 
 
+def _links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of rows (_clu, _i, _k, _side, cid, _set): all of a run meet in one task."""
+    rows = met.join(sets, "_set").select("_clu", "_i", "_k", "_side", "cid", "_items")
+    dealt = rows.repartition("_clu", "_i", "_k").sortWithinPartitions("_clu", "_i", "_k", "cid")
+    return dealt.mapInArrow(lambda it: _verify(it, percent), "a long, b long")
+
+
+def _blocks(n: Column, shingles: Column) -> Column:
+    """Blocks of so many sets with so many shingles in all."""
+    return F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _verified(spark: SparkSession, members: DataFrame, bands: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, label) of the components of exact links among members (cid, _set, _size, _clu).
+
+    Clusters of up to WHOLE blocks compare all blocks with all. A larger one compares all its sets with one block
+    of them; then what shares a band, unless these links have already put it together: in each band's bucket the
+    sets outside the bucket's largest component so far meet all of the bucket. So a large group of near copies
+    costs a few comparisons with a block for each set, and a chain of chance collisions those of its small buckets.
+    """
+    sizes = members.groupBy("_clu").agg(F.count("*").alias("_m"), _blocks(F.count("*"), F.sum("_size")).alias("_blocks"))
+    sizes = materialise(spark, sizes, "sizes")
+    dealt = hot_join(members.select("cid", "_set", "_clu"), sizes, "_clu", "_m", members.count())
+    dealt = dealt.withColumn("_blk", F.pmod(F.xxhash64("cid"), F.col("_blocks")).cast("int"))
+    last = F.when((F.col("_blocks") > WHOLE) & (F.col("_blk") > 0), 0).otherwise(F.col("_blocks") - 1)
+    rows = dealt.withColumn("_j", F.explode(F.sequence(F.lit(0), last)))
+    met = rows.select("_clu", F.least("_blk", "_j").alias("_i"), F.greatest("_blk", "_j").alias("_k"), F.when(F.col("_blk") <= F.col("_j"), 0).otherwise(1).alias("_side"), "cid", "_set")
+    links = materialise(spark, _links(met, sets, percent), "links")
+    labels = components(spark, links)
+    large = sizes.filter(F.col("_blocks") > WHOLE).select("_clu")
+    if large.isEmpty():
+        return labels
+
+    # _clu is a band from here on; the bands of the large clusters' members only.
+    within = members.join(large, "_clu", "left_semi").select("cid", "_set", "_size")
+    within = within.join(labels, F.col("cid") == labels.node, "left").select("cid", "_set", "_size", F.coalesce("label", "cid").alias("_label"))
+    within = materialise(spark, bands.withColumnRenamed("_band", "_clu").join(within, "cid").select("_clu", "cid", "_set", "_size", "_label"), "within")
+    parts = within.groupBy("_clu", "_label").agg(F.count("*").alias("_n"), F.sum("_size").alias("_s"))
+    one = F.max(F.struct("_n", "_label"))["_label"].alias("_main")
+    groups = parts.groupBy("_clu").agg(F.sum("_n").alias("_m"), one, _blocks(F.sum("_n"), F.sum("_s")).alias("_blocks"), F.count("*").alias("_kinds")).filter("_kinds > 1")
+    split = hot_join(within, groups, "_clu", "_m", within.count()).filter("_main is not null")
+    split = materialise(spark, split.withColumn("_blk", F.pmod(F.xxhash64("cid"), F.col("_blocks")).cast("int")), "split")
+    others = split.filter("_label <> _main")
+    apart = others.groupBy("_clu").agg(F.count("*").alias("_m"), _blocks(F.count("*"), F.sum("_size")).alias("_rows"))
+    left = hot_join(others, apart.withColumnRenamed("_m", "_o"), "_clu", "_o", others.count())
+    left = left.withColumn("_i", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("_rows")).cast("int")).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    right = hot_join(split.drop("_m"), apart.join(groups.select("_clu", F.col("_m").alias("_all")), "_clu").select("_clu", "_rows", "_all"), "_clu", "_all", split.count())
+    right = right.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_rows") - 1))).withColumn("_k", F.col("_blk"))
+    names = ["_clu", "_i", "_k", "_side", "cid", "_set"]
+    met = left.withColumn("_side", F.lit(0)).select(*names).unionByName(right.withColumn("_side", F.lit(1)).select(*names))
+    return components(spark, links.unionByName(materialise(spark, _links(met, sets, percent), "links")))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row for each row of docs: id, columns keep, n_shingles, component_id, kept, component.
 
@@ -187,6 +240,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, percent: in
     groups apart even so, and is null without shingles. An empty table gives an empty one. Columns that are not
     named are not read. Shingles are told apart by 64-bit hashes, classes by 128-bit ones.
     """
+    small_batches(spark)
     cols = [id_col, *keep]
     source = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)], F.col(text_col).cast("binary").alias("_text"))
     kinds = ", ".join(f"`_k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(cols))
@@ -203,24 +257,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, percent: in
     clusters = components(spark, tied.select(F.col("_first").alias("a"), F.col("cid").alias("b")).unionByName(among))
     members = clusters.join(classes.select("cid", "_set", "_rep", "_size"), clusters.node == F.col("cid")).select("cid", "_set", "_rep", "_size", F.col("label").alias("_clu"))
     members = materialise(spark, members, "members")
-    n_members = members.count()
-
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("_size") / BLOCK_SHINGLES)).cast("int")
-    sizes = members.groupBy("_clu").agg(F.count("*").alias("_m"), blocks.alias("_blocks"))
-    dealt = hot_join(members.select("cid", "_set", "_clu"), sizes, "_clu", "_m", n_members)
-    dealt = dealt.withColumn("_blk", F.pmod(F.xxhash64("cid"), F.col("_blocks")).cast("int"))
     ids = members.select("_rep").distinct()
-    texts = source.join(F.broadcast(ids) if n_members <= BROADCAST_IDS else ids, F.col("_k0").eqNullSafe(F.col("_rep")), "left_semi")
+    few = members.count() <= BROADCAST_IDS
+    texts = source.join(F.broadcast(ids) if few else ids, F.col("_k0").eqNullSafe(F.col("_rep")), "left_semi")
     sets = texts.select("_text").mapInArrow(lambda it: _sets(it, width), "_set binary, _items binary").groupBy("_set").agg(F.first("_items").alias("_items"))
-    rows = dealt.join(sets, "_set").withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    rows = rows.select("_clu", F.least("_blk", "_j").alias("_i"), F.greatest("_blk", "_j").alias("_k"), "cid", "_blk", "_items")
-    met = rows.repartition("_clu", "_i", "_k").sortWithinPartitions("_clu", "_i", "_k", "cid")
-    labels = components(spark, met.mapInArrow(lambda it: _verify(it, percent), "a long, b long"))
+    labels = _verified(spark, members, bands, sets, percent)
 
     labelled = classes.select("_set", "_rep", "_n", "cid").join(labels, F.col("cid") == labels.node, "left").select("_set", "_rep", "_n", F.coalesce("label", "cid").alias("component"))
     labelled = materialise(spark, labelled, "labelled")
     smallest = labelled.groupBy("component").agg(F.min("_rep").alias("component_id"), F.count("*").alias("_m"))
-    ends = hot_join(labelled, smallest, "component", "_m", n_members).select("_set", "_n", "component", "component_id")
+    ends = hot_join(labelled, smallest, "component", "_m", labelled.count()).select("_set", "_n", "component", "component_id")
     full = hot_join(signed.filter("_set is not null").drop("_bands"), ends, "_set", "_n", signed.count())
     none = signed.filter("_set is null").withColumn("component", F.lit(None).cast("long")).withColumn("component_id", F.col("_k0"))
     fields = [*[F.col(f"_k{i}").alias(c) for i, c in enumerate(cols)], "n_shingles", "component_id", F.col("_k0").eqNullSafe(F.col("component_id")).alias("kept"), "component"]
