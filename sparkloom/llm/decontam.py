@@ -1,17 +1,19 @@
 """Benchmark decontamination: a prefix-filtered set join of item windows with documents."""
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices
+from .common import in_slices, small_batches
 
-#: Bytes of items that one block of the index holds; a larger benchmark is joined in several blocks.
-BLOCK_BYTES = 16_000_000
+#: Windows of items that one block of the index holds; a larger benchmark is joined in several blocks.
+BLOCK_WINDOWS = 2_000_000
+#: Candidate places of a document that are compared in step.
+STEP = 1 << 16
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 #: A-Z to lower case; whatever is no part of a word becomes a space.
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
@@ -35,82 +37,151 @@ def shingle_keys(ids: np.ndarray, width: int) -> np.ndarray:
     return key
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a sorted array, and where the run of each begins (and the last one ends)."""
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.r_[first, len(keys)]
+
+
+def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begins[0], begins[0] + 1, ... so many of each, one after the other."""
+    return np.repeat(begins - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum()) if len(sizes) else np.zeros(0, np.int64)
+
+
+class Windows:
+    """Distinct windows of one length, as places in the block's words, with the items of each."""
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray, items: np.ndarray, length: int, width: int) -> None:
+        self.length, self.width = length, min(width, length)
+        key = shingle_keys(words, length)[starts]
+        order = np.lexsort((items, key))
+        starts, items, key = starts[order], items[order], key[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+        for k in range(length):  # equal hashes are told apart; at worst a window is there twice
+            new[1:] |= words[starts[1:] + k] != words[starts[:-1] + k]
+        first = np.flatnonzero(new)
+        self.starts, self.items, self.item_at = starts[first].astype(np.int32), items.astype(np.int32), np.r_[first, len(items)].astype(np.int32)
+        #: Windows sorted by their prefix, the rarest shingle: its key, where its run of windows begins, and their offsets.
+        self.prefix, self.at = np.zeros(0, np.uint64), np.zeros(1, np.int64)
+        self.window = self.offset = np.zeros(0, np.int32)
+
+    def order(self, words: np.ndarray, known: np.ndarray, frequency: np.ndarray) -> None:
+        """Files each window under its rarest shingle (then the smallest key, then the first): to contain a window
+        is to contain its prefix of one token. A window whose rarest shingle is in no document is left out."""
+        keys = shingle_keys(words, self.width)
+        best, best_key, offset = np.zeros(0), np.zeros(0, np.uint64), np.zeros(len(self.starts), np.int32)
+        for k in range(self.length - self.width + 1):
+            key = keys[self.starts + k]
+            n = frequency[np.searchsorted(known, key)]
+            if k == 0:
+                best, best_key = n, key
+                continue
+            better = (n < best) | ((n == best) & (key < best_key))
+            best, best_key = np.where(better, n, best), np.where(better, key, best_key)
+            offset[better] = k
+        there = np.flatnonzero(best > 0)
+        there = there[np.argsort(best_key[there], kind="stable")]
+        self.prefix, self.at = _runs(best_key[there])
+        self.window, self.offset = there.astype(np.int32), offset[there]
+
+
 class Index:
-    """Windows of one block of benchmark items over a vocabulary of the block's own words."""
+    """Windows of one block of benchmark items over a vocabulary of the block's own words, all in a few arrays."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int, width: int) -> None:
-        self.width = width
+    def __init__(self, items: list[tuple[str, list[bytes]]], window: int, width: int) -> None:
+        """Words of items, one after the other; a piece of a long item begins with the last window - 1 words before."""
         self.vocabulary: dict[bytes, int] = {}
-        spans: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(text)]
-            for at in range(max(1, len(ids) - window + 1) if ids else 0):
-                spans.setdefault(tuple(ids[at : at + window]), set()).add(item)
-        self.windows = [np.array(w, np.int64) for w in spans]
-        self.items = list(spans.values())
-        #: Items shorter than a shingle are shingles of their own width.
-        self.widths = sorted({min(width, len(w)) for w in self.windows})
-        self.keys = {k: np.unique(np.concatenate([shingle_keys(w, k) for w in self.windows if min(width, len(w)) == k])) for k in self.widths}
-        self.prefix: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]] = {}
+        names: dict[str, int] = {}
+        parts, starts, owners = [], {}, {}
+        size = 0
+        for item, found in items:
+            if not found:
+                continue
+            parts.append(np.fromiter((self.vocabulary.setdefault(w, len(self.vocabulary)) for w in found), np.int32, len(found)))
+            length = min(window, len(found))
+            own = np.arange(size, size + len(found) - length + 1)
+            starts.setdefault(length, []).append(own)
+            owners.setdefault(length, []).append(np.full(len(own), names.setdefault(item, len(names))))
+            size += len(found)
+        self.words = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.names = list(names)
+        self.windows = [Windows(self.words, np.concatenate(starts[n]), np.concatenate(owners[n]), n, width) for n in sorted(starts)]
+        #: Items shorter than a shingle are shingles of their own width. Keys are those of the windows' shingles only.
+        self.keys: dict[int, np.ndarray] = {}
+        for w in self.windows:
+            keys = shingle_keys(self.words, w.width)
+            own = np.unique(np.concatenate([keys[w.starts + k] for k in range(w.length - w.width + 1)]))
+            self.keys[w.width] = np.union1d(self.keys.get(w.width, own[:0]), own)
 
     def encode(self, text: bytes | None) -> np.ndarray:
         """Word numbers; words of no item are -1."""
         found = words(text)
-        return np.fromiter(map(self.vocabulary.get, found, (-1 for _ in found)), np.int64, len(found))
+        return np.fromiter(map(self.vocabulary.get, found, (-1 for _ in found)), np.int32, len(found))
 
-    def occurrences(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(width, positions, keys) of the document's shingles that are shingles of an item."""
-        for k in self.widths:
+    def occurrences(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(width, places among keys) of the distinct shingles of a document that are shingles of an item."""
+        for k, own in self.keys.items():
             keys = shingle_keys(ids, k)
-            if len(keys):
-                own = self.keys[k]
-                at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-                pos = np.flatnonzero(own[at] == keys)
-                if len(pos):
-                    yield k, pos, keys[pos]
-
-    def order(self, frequency: dict[tuple[int, int], int]) -> None:
-        """Puts each window under its rarest shingle: to contain a window is to contain its prefix of one token."""
-        lists: dict[int, dict[int, list[tuple[int, int]]]] = {k: {} for k in self.widths}
-        for w, ids in enumerate(self.windows):
-            k = min(self.width, len(ids))
-            keys = shingle_keys(ids, k).tolist()
-            at = min(range(len(keys)), key=lambda i: (frequency.get((k, keys[i]), 0), keys[i], i))
-            if frequency.get((k, keys[at]), 0):
-                lists[k].setdefault(keys[at], []).append((w, at))
-        self.prefix = {k: (np.array(sorted(x), np.uint64), x) for k, x in lists.items() if x}
-
-    def hits(self, text: bytes | None) -> tuple[int, np.ndarray, set[str]]:
+            at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+            yield k, np.unique(at[own[at] == keys])
+
+    def order(self, frequency: dict[int, np.ndarray]) -> None:
+        """Files the windows, given the number of documents with each of keys; what only this needs is dropped."""
+        for w in self.windows:
+            w.order(self.words, self.keys[w.width], frequency[w.width])
+        self.keys = {}
+
+    def hits(self, text: bytes | None) -> tuple[int, np.ndarray, list[str]]:
         """Number of words, mask of hit words, items with occurring windows."""
         ids = self.encode(text)
-        mask, found = np.zeros(len(ids) + 1, np.int64), set()
-        for k, (tokens, lists) in self.prefix.items():
-            keys = shingle_keys(ids, k)
-            if not len(keys):
+        mask, found = np.zeros(len(ids) + 1, np.int64), []
+        keys = {k: shingle_keys(ids, k) for k in {w.width for w in self.windows if len(w.prefix)}}
+        for w in self.windows:
+            if not len(w.prefix) or not len(keys[w.width]):
                 continue
-            near = np.minimum(np.searchsorted(tokens, keys), len(tokens) - 1)
-            for pos in np.flatnonzero(tokens[near] == keys).tolist():
-                for w, offset in lists[int(keys[pos])]:
-                    start, window = pos - offset, self.windows[w]
+            near = np.minimum(np.searchsorted(w.prefix, keys[w.width]), len(w.prefix) - 1)
+            here = np.flatnonzero(w.prefix[near] == keys[w.width])
+            near = near[here]
+            for at in range(0, len(here), STEP):  # a place has a window mostly, or a few
+                own = near[at : at + STEP]
+                sizes = w.at[own + 1] - w.at[own]
+                for low, high in _parts(sizes, STEP):
+                    filed = _spread(w.at[own[low:high]], sizes[low:high])
+                    start = np.repeat(here[at + low : at + high], sizes[low:high]) - w.offset[filed]
+                    window = w.window[filed]
                     # Bounds of position and length, then the window in full.
-                    if start < 0 or start + len(window) > len(ids) or not np.array_equal(ids[start : start + len(window)], window):
-                        continue
-                    mask[start] += 1
-                    mask[start + len(window)] -= 1
-                    found |= self.items[w]
-        return len(ids), np.cumsum(mask[:-1]) > 0, found
+                    fits = (start >= 0) & (start + w.length <= len(ids))
+                    start, window = start[fits], window[fits]
+                    for k in range(w.length):
+                        same = ids[start + k] == self.words[w.starts[window] + k]
+                        start, window = start[same], window[same]
+                    np.add.at(mask, start, 1)
+                    np.add.at(mask, start + w.length, -1)
+                    window = np.unique(window)
+                    found.append(w.items[_spread(w.item_at[window], w.item_at[window + 1] - w.item_at[window])])
+        names = [self.names[i] for i in np.unique(np.concatenate(found)).tolist()] if found else []
+        return len(ids), np.cumsum(mask[:-1]) > 0, sorted(names)
+
+
+def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of places with so many windows in all, or of one place with more."""
+    sums, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(sums, (sums[at - 1] if at else 0) + most, side="right")))
+        yield at, to
+        at = to
 
 
 def _frequencies(batches: Iterable[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     """Counts of the documents that have each shingle, summed for the partition."""
-    total: Counter = Counter()
+    total = {k: np.zeros(len(x), np.int64) for k, x in index.keys.items()}
     for batch in in_slices(batches):
         for text in batch.column(0).to_pylist():
-            for k, _, keys in index.occurrences(index.encode(text)):
-                total.update((k, x) for x in np.unique(keys).tolist())
-    if total:
-        rows = list(total.items())
-        yield pa.RecordBatch.from_arrays([pa.array([k for (k, _), _ in rows], pa.int32()), pa.array(np.array([x for (_, x), _ in rows], np.uint64).view(np.int64)), pa.array([n for _, n in rows], pa.int64())], names=["width", "key", "n"])
+            for k, at in index.occurrences(index.encode(text)):
+                total[k][at] += 1
+    for k, n in total.items():
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k), pa.int32()), pa.array(at), pa.array(n[at])], names=["width", "at", "n"])
 
 
 def _join(batches: Iterable[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
@@ -119,25 +190,29 @@ def _join(batches: Iterable[pa.RecordBatch], index: Index) -> Iterator[pa.Record
         # Hit words as [start, end) spans, so that the blocks of a large benchmark can be put together.
         spans = [np.flatnonzero(np.diff(np.r_[0, m.astype(np.int8), 0])).tolist() for _, m, _ in got]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array([n for n, _, _ in got], pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array([sorted(f) for _, _, f in got], pa.list_(pa.string()))],
+            [*batch.columns[:-1], pa.array([n for n, _, _ in got], pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array([f for _, _, f in got], pa.list_(pa.string()))],
             names=[*batch.schema.names[:-1], "n_words", "spans", "items"],
         )
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    block, size = [], 0
+def _blocks(items: DataFrame, window: int, most: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """Words of items, about so many in a block; a long item is cut, with window - 1 words in both pieces."""
+    block, room = [], most
     for item, text in items.toLocalIterator():
-        if block and size + len(text) > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((item, bytes(text)))
-        size += len(text)
+        found = words(bytes(text))
+        for at in range(0, max(1, len(found) - window + 1), most):
+            piece = found[at : at + most + window - 1]
+            if block and len(piece) > room:
+                yield block
+                block, room = [], most
+            block.append((item, piece))
+            room -= len(piece)
     if block:
         yield block
 
 
 def decontaminate(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ()
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_windows: int = BLOCK_WINDOWS, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row for each row of docs: id, columns keep, n_words, spans of hit words, n_hit, items (sorted), n_items.
 
@@ -147,23 +222,30 @@ def decontaminate(
     is in no document is dropped, and the second pass looks for those tokens, applies the bounds of position and
     length and compares the window word by word.
 
-    The index of at most block_bytes of items is broadcast; a larger benchmark takes one scan for each block, and
-    the blocks' spans and items are united. No documents are shuffled, except to unite several blocks.
+    The index of about block_windows windows (some 60 bytes each) is broadcast; a larger benchmark takes two scans
+    for each block, and the blocks' spans and items are united. No documents are shuffled, except to unite blocks.
 
     Null texts have no words; null items are left out; a null item id counts as the empty id; repeated items count
     once per id; repeated documents keep a row each; an empty benchmark hits nothing. Columns that are not named
     are not read.
     """
+    small_batches(spark)
     cols = list(dict.fromkeys([id_col, *keep]))
     rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)], F.col(text_col).cast("binary").alias("_text"))
     items = benchmark.filter(F.col(text_col).isNotNull()).select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), F.col(text_col).cast("binary"))
     schema = ", ".join(f"`_k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(cols)) + ", n_words long, spans array<long>, items array<string>"
     found: list[DataFrame] = []
-    for block in _blocks(items, block_bytes):
+    for block in _blocks(items, window, block_windows):
         index = Index(block, window, shingle)
         if index.windows:
-            counted = rows.select("_text").mapInArrow(lambda it, x=index: _frequencies(it, x), "width int, key long, n long").groupBy("width", "key").agg(F.sum("n"))
-            index.order({(k, x & ((1 << 64) - 1)): n for k, x, n in counted.collect()})
+            asked = spark.sparkContext.broadcast(index)
+            counted = rows.select("_text").mapInArrow(lambda it, x=asked: _frequencies(it, x.value), "width int, at long, n long").groupBy("width", "at").agg(F.sum("n").alias("n")).toArrow()
+            asked.unpersist()
+            frequency = {k: np.zeros(len(x), np.int64) for k, x in index.keys.items()}
+            for k, own in frequency.items():
+                of = counted.filter(pc.equal(counted["width"], k))
+                own[of["at"].to_numpy()] = of["n"].to_numpy()
+            index.order(frequency)
         shared = spark.sparkContext.broadcast(index)
         found.append(rows.mapInArrow(lambda it, x=shared: _join(it, x.value), schema))
     if not found:
