@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontam, exactdup, langid, mixing, neardup, ppm, sharding, tokens, toxicity
-from .common import fold, materialise
+from .common import fold
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,8 +45,7 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql(r"""select -7L as conv_id, id as turn, if(id = 0, 'user', 'assistant') as role, r'\### Assistant: </turn> ok' as text from range(2)""")
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    messages = materialise(spark, chat.from_turns(turns), "messages")
-    got = chat.format_trees(spark, messages.select("tree", "msg", "parent", "role", "text", "score"))
+    got = chat.format_trees(spark, chat.from_turns(spark, turns))
     read = chat.parse(F.col("formatted"))
     digest = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     got = got.withColumn("_turns", read).withColumn("_loss", chat.masked(F.col("formatted"), F.col("loss_spans")))
