@@ -1,51 +1,93 @@
 """Sharding by minimax contiguous partition of ordered atomic groups."""
 
+import bisect
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import hot_join, materialise, numbered
 
-#: Capacities that one round of the search tries at once.
-WAYS = 24
+#: Sums that the driver holds at once, about; and as many for each shard at least.
+SKETCH, PER_SHARD = 60_000, 48
+
+
+class Sums:
+    """Some of the running sums of sizes in their order, the last one included, and whether others lie before each."""
 
+    def __init__(self, known: list[int], whole: list[bool]) -> None:
+        """whole[i]: no sum lies between known[i - 1] (or 0) and known[i]."""
+        self.known, self.whole, self.total = known, whole, known[-1]
 
-def _cut(prefix: DataFrame, shards: int, total: int, largest: int, capacities: list[int]) -> list[list[int]]:
-    """For each capacity the greedy cuts: sums of sizes where its shards end. One pass for each shard."""
-    cuts: list[list[int]] = [[] for _ in capacities]
-    starts = [0] * len(capacities)
-    for _ in range(shards):
-        ends = [s + c for s, c in zip(starts, capacities, strict=True)]
-        # The last group that still fits ends less than one largest group before the limit.
-        near = prefix.filter((F.col("_sum") > min(ends) - largest) & (F.col("_sum") <= max(ends)))
-        got = near.agg(*[F.max(F.when(F.col("_sum") <= e, F.col("_sum"))).alias(f"c{i}") for i, e in enumerate(ends)]).first()
-        starts = [total if e >= total else int(x) if x is not None else s for e, x, s in zip(ends, got, starts, strict=True)]
-        for c, s in zip(cuts, starts, strict=True):
-            c.append(s)
-    return cuts
+    def below(self, limit: int) -> tuple[int, int]:
+        """Bounds of the largest sum that is not above limit; they agree where the sums around it are known."""
+        at = bisect.bisect_right(self.known, limit)
+        low = self.known[at - 1] if at else 0
+        return low, low if at == len(self.known) or self.whole[at] else min(limit, self.known[at] - 1)
 
+    def cuts(self, capacity: int, shards: int) -> list[tuple[int, int]]:
+        """Bounds of where each shard ends if it takes all that fits; a later start never ends earlier."""
+        low = high = 0
+        out = []
+        for _ in range(shards):
+            low, high = self.below(low + capacity)[0], self.below(high + capacity)[1]
+            out.append((low, high))
+        return out
 
-def smallest_capacity(prefix: DataFrame, shards: int, total: int, largest: int) -> list[int]:
-    """The cuts of the smallest capacity with which greedy filling needs at most so many shards.
+    def smallest(self, shards: int, largest: int) -> tuple[int, int]:
+        """Bounds of the smallest capacity that is enough, each by bisection."""
+        out, least = [], max(largest, -(-self.total // shards))
+        for side in (1, 0):
+            low, high = least, -(-self.total // shards) + largest
+            while low < high:
+                tried = (low + high) // 2
+                low, high = (low, tried) if self.cuts(tried, shards)[-1][side] >= self.total else (tried + 1, high)
+            out.append(low)
+        return out[0], out[1]
 
-    Feasibility is monotone in the capacity, so the interval is searched as by bisection, WAYS capacities
-    tried in each pass over the sums instead of one.
+
+def _undecided(sums: Sums, nth: list[int], low: int, high: int, shards: int, most: int = 64) -> list[tuple[int, int]]:
+    """Places among the known sums (above one, up to another) between which unknown ones may decide, at most so many.
+
+    A shard may end anywhere between its lower bound for the smallest capacity and its upper one for the largest.
     """
-    low, high = max(largest, -(-total // shards)), -(-total // shards) + largest
-    best = _cut(prefix, shards, total, largest, [high])[0]
-    while low < high:
-        step = max(1, (high - low) // WAYS)
-        tried = list(range(low, high, step))[: WAYS + 1]
-        cuts = _cut(prefix, shards, total, largest, tried)
-        good = next((i for i, c in enumerate(cuts) if c[-1] == total), None)
-        if good is None:
-            low = tried[-1] + 1
-            continue
-        high, best = tried[good], cuts[good]
-        low = tried[good - 1] + 1 if good else high
-    return best
-
-
-def minimax_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    gaps: set[int] = set()
+    for (a, _), (_, b) in zip(sums.cuts(low, shards), sums.cuts(high, shards), strict=True):
+        gaps |= {g for g in range(bisect.bisect_right(sums.known, a), min(bisect.bisect_right(sums.known, b), len(nth) - 1) + 1) if not sums.whole[g]}
+    order = sorted(gaps)
+    apart = sorted(range(1, len(order)), key=lambda i: order[i] - order[i - 1])[1 - most :]
+    breaks = [0, *sorted(i for i in apart if order[i] > order[i - 1] + 1), len(order)]
+    return [(order[a] - 1, order[b - 1]) for a, b in zip(breaks, breaks[1:], strict=False)]
+
+
+def smallest_cuts(prefix: DataFrame, shards: int, largest: int, groups: int, sketch: int = SKETCH) -> list[int]:
+    """Where the shards end with the smallest capacity with which greedy filling needs at most so many of them.
+
+    prefix has _sum, the running sums, and _nth, their number in the order. The driver bisects the capacity, each
+    step checked greedily, over every step-th sum: this bounds the capacity, and where each shard may end. Only the
+    sums there are read next, more densely, until all that decide are known: a few passes, each of which returns
+    about `sketch` sums (or 48 for each shard) whatever the number of groups. If a pass decides little, as with some
+    thousand shards, the next may return twice as many.
+    """
+    most, rows = max(sketch, PER_SHARD * shards), groups
+    inside, known = F.lit(True), {}
+    while True:
+        step = -(-rows // most)
+        known |= dict(tuple(r) for r in prefix.filter(inside & ((F.col("_nth") % step == 0) | (F.col("_nth") == groups - 1))).select("_nth", "_sum").collect())
+        nth = sorted(known)
+        sums = Sums([known[n] for n in nth], [b - a == 1 for a, b in zip([-1, *nth], nth, strict=False)])
+        low, high = sums.smallest(shards, largest)
+        cuts = sums.cuts(low, shards)
+        if low == high and all(a == b for a, b in cuts):
+            return [a for a, _ in cuts]
+        windows = [(nth[a] if a >= 0 else -1, nth[b]) for a, b in _undecided(sums, nth, low, high, shards)]
+        inside = reduce(or_, [(F.col("_nth") > a) & (F.col("_nth") < b) for a, b in windows])
+        left = sum(b - a - 1 for a, b in windows)
+        most, rows = most * (2 if 2 * left > rows else 1), left
+
+
+def minimax_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", sketch: int = SKETCH) -> DataFrame:
     """One row for each row of docs: id, size, text_crc32, shard, slot.
 
     Rows with equal texts are one atomic group; groups are ordered by their smallest id (null first), then by
@@ -62,21 +104,20 @@ def minimax_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, id_col
     base = materialise(spark, base, "sizes")
     groups = base.groupBy("_key").agg(F.sum("size").alias("_size"), F.count("*").alias("_n"), F.min("_id").alias("_gid"))
     groups = numbered(spark, groups, [F.col("_gid"), F.col("_key")], "groups")
-    before, offsets = 0, []
-    for pid, s in sorted((r[0], r[1]) for r in groups.groupBy("_pid").agg(F.sum("_size")).collect()):
-        offsets.append((pid, before))
-        before += s
-    total = before
+    total = n_groups = n = largest = 0
+    offsets = []
+    for pid, s, k, rows, top in sorted(tuple(r) for r in groups.groupBy("_pid").agg(F.sum("_size"), F.count("*"), F.sum("_n"), F.max("_size")).collect()):
+        offsets.append((pid, total, n_groups))
+        total, n_groups, n, largest = total + s, n_groups + k, n + rows, max(largest, top)
     if not offsets:
         return base.select(F.col("_id").alias(id_col), "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    at = spark.createDataFrame(offsets, "_pid long, _before long")
+    at = spark.createDataFrame(offsets, "_pid long, _before long, _first long")
     running = F.sum("_size").over(Window.partitionBy("_pid").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
-    prefix = groups.join(F.broadcast(at), "_pid").select("_key", "_gid", "_n", "_size", (running + F.col("_before")).alias("_sum"))
+    prefix = groups.join(F.broadcast(at), "_pid").select("_key", "_gid", "_n", (running + F.col("_before")).alias("_sum"), (F.col("_at") + F.col("_first")).alias("_nth"))
     prefix = materialise(spark, prefix, "prefix")
-    largest = prefix.agg(F.max("_size")).first()[0]
-    cuts = smallest_capacity(prefix.select("_sum"), shards, total, largest)
-    shard = sum((F.when(F.col("_sum") > c, 1).otherwise(0) for c in cuts[:-1]), F.lit(0))
-    placed = hot_join(base, prefix.select("_key", "_gid", "_n", shard.cast("int").alias("shard")), "_key", "_n", base.count())
+    cuts = smallest_cuts(prefix.select("_sum", "_nth"), shards, largest, n_groups, sketch)
+    shard = F.expr(f"aggregate(array({', '.join(f'{c}L' for c in cuts[:-1])}), 0, (a, c) -> a + if(_sum > c, 1, 0))") if shards > 1 else F.lit(0)
+    placed = hot_join(base, prefix.select("_key", "_gid", "_n", shard.cast("int").alias("shard")), "_key", "_n", n)
     rows = placed.select("_id", "size", "text_crc32", "shard", "_gid", "_key")
     rows = numbered(spark, rows, [F.col(c) for c in ("shard", "_gid", "_key", "_id")], "placed")
     taken: dict[int, int] = {}
