@@ -1,5 +1,6 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams."""
 
+import copy
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -8,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices
+from .common import hash_bound, in_slices, materialise, small_batches
 
 #: Labelled documents of each label that a model is fitted on (documented bound), bits of the hash, bytes of a stem.
 SAMPLE, BITS, STEM = 6000, 20, 4
@@ -76,18 +77,13 @@ def _featured(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], names=["_u", "label", "at"])
 
 
-def _train(batches: Iterable[pa.RecordBatch], bits: int, epochs: int) -> Iterator[pa.RecordBatch]:
-    """One task over the bounded sample, in the order of its hash."""
-    rows = [(y, np.frombuffer(a, np.int32)) for b in batches for y, a in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-    model, ones = Ftrl(bits), sum(y for y, _ in rows)
-    # Both labels weigh the same in sum for features to be found, within a factor of three.
-    weight = {1: min(3.0, max(1.0, (len(rows) - ones) / max(ones, 1))), 0: 1.0}
-    for _ in range(epochs if rows else 0):
-        for y, at in rows:
-            model.learn(at, y, weight[y])
-    w = model.weights(slice(None))
-    keys = np.flatnonzero(w)
-    yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, keys], pa.int64()), pa.array(np.r_[model.bias(), w[keys]], pa.float64())], names=["key", "weight"])
+def _train(batches: Iterable[pa.RecordBatch], model: Ftrl, weight: dict[int, float]) -> Iterator[pa.RecordBatch]:
+    """One pass over the bounded sample in one task, batch by batch: the coordinates that have been met, and the bias (-1)."""
+    for batch in in_slices(batches):
+        for y, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            model.learn(np.frombuffer(at, np.int32), y, weight[y])
+    keys = np.flatnonzero(model.n)
+    yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, keys], pa.int64()), pa.array(np.r_[model.bias_z, model.z[keys]]), pa.array(np.r_[model.bias_n, model.n[keys]])], names=["key", "z", "n"])
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, bits: int = BITS, epochs: int = 4) -> Weights:
@@ -95,21 +91,33 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
 
     labels may hold other labels than 0 and 1, nulls, or rows without a document: those are left out; if a
     document has several labels, the larger counts. The chosen ids, at most some twice the sample, are broadcast,
-    so documents are not shuffled; the sample's features meet in one task.
+    so documents are not shuffled. The sample's features are written in the order of the hash, and each epoch is
+    one task that reads them in batches, from the state of the epoch before: memory is that of two arrays of 2 ** bits
+    numbers, however long the texts are. Both labels weigh the same in sum, within a factor of three.
     """
-    u = F.pmod(F.xxhash64(F.lit("toxic"), F.col("_id")), F.lit(1_000_000))
+    small_batches(spark)
+    u = F.xxhash64(F.lit("toxic"), F.col("_id")).bitwiseAND((1 << 63) - 1)
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).filter("_id is not null and label in (0, 1)").groupBy("_id").agg(F.max("label").alias("label")).withColumn("_u", u)
     sizes = dict(tuple(r) for r in marked.groupBy("label").count().collect())
-    if not sizes:
-        return Weights(np.zeros(0, np.int64), np.zeros(0), 0.0, bits)
-    share = {k: int(1_000_000 * min(1.0, sample / n)) for k, n in sizes.items()}
-    chosen = marked.filter(F.col("_u") < F.when(F.col("label") == 1, share.get(1, 0)).otherwise(share.get(0, 0)))
+    bound = {k: hash_bound(sample, n) for k, n in sizes.items()}
+    chosen = marked.filter(F.col("_u") <= F.when(F.col("label") == 1, bound.get(1, -1)).otherwise(bound.get(0, -1)))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).join(F.broadcast(chosen), "_id")
     rows = texts.select("_u", "label", "_text").mapInArrow(lambda it: _featured(it, bits), "_u long, label int, at binary")
-    one = rows.repartition(1).sortWithinPartitions("_u", "label", "at")
-    got = one.mapInArrow(lambda it: _train(it, bits, epochs), "key long, weight double").toPandas()
-    bias, rest = got[got.key < 0].weight, got[got.key >= 0].sort_values("key")
-    return Weights(rest.key.to_numpy(np.int64), rest.weight.to_numpy(np.float64), float(bias.iloc[0]) if len(bias) else 0.0, bits)
+    rows = materialise(spark, rows.repartition(1).sortWithinPartitions("_u", "label", "at"), "features")
+    seen = {0: 0, 1: 0} | dict(tuple(r) for r in rows.groupBy("label").count().collect())
+    weight = {0: 1.0, 1: min(3.0, max(1.0, seen[0] / max(seen[1], 1)))}
+    model = Ftrl(bits)
+    for _ in range(epochs if sum(seen.values()) else 0):
+        shared = spark.sparkContext.broadcast(model)
+        got = rows.coalesce(1).mapInArrow(lambda it, m=shared: _train(it, copy.deepcopy(m.value), weight), "key long, z double, n double").toArrow()
+        shared.unpersist()
+        key, z, n = (got[c].to_numpy() for c in ("key", "z", "n"))
+        model, at = Ftrl(bits), key[key >= 0]
+        model.z[at], model.n[at] = z[key >= 0], n[key >= 0]
+        model.bias_z, model.bias_n = float(z[key < 0][0]), float(n[key < 0][0])
+    w = model.weights(slice(None))
+    keys = np.flatnonzero(w)
+    return Weights(keys, w[keys], model.bias(), bits)
 
 
 def _score(batches: Iterable[pa.RecordBatch], weights: Weights) -> Iterator[pa.RecordBatch]:
@@ -125,6 +133,7 @@ def score(spark: SparkSession, docs: DataFrame, weights: Weights, keep: tuple[st
     occurs, so very long texts are no more toxic than short ones for their length. Repeated rows keep a row each;
     an empty table gives an empty one; columns that are not named are not read.
     """
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(weights)
     rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text_col).cast("binary").alias("_text"))
     schema = ", ".join([f"`_k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)] + ["score double", "predicted int"])
