@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, materialise
+from .common import in_slices, materialise, small_batches
 
 #: Bytes of the longest context; runs of ORDER + 1 bytes and words that are looked up without a join; slots for the runs.
 ORDER, RUNS, HEAD, SLOTS = 5, 1 << 19, 100_000, 1 << 21
@@ -325,6 +325,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, train: DataFrame, id_col: st
     counts are 0 and every byte has the chance 1/256. An empty table gives an empty one; other columns are not
     read. Partitions of docs are identified by their place in the scan, which a lost executor does not change.
     """
+    small_batches(spark)
     counts = train.select(F.col(text_col).cast("binary").alias("_text")).mapInArrow(_count, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = materialise(spark, counts.select((F.substring("key", 1, 1) == F.lit(b"\x01")).alias("is_word"), F.substring("key", 2, 1 << 30).alias("key"), "n"), "counts")
     texts = train.count()

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, scratch
+from .common import in_slices, scratch, small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the published pattern that splits text before byte-level BPE.
@@ -172,6 +172,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, length: int =
     table gives a manifest without shards. Other columns are not read. The docs must give the same rows in the
     same partitions in both passes, as tables do; else an error is raised.
     """
+    small_batches(spark)
     with open(vocabulary, "rb") as f:
         words = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
@@ -202,6 +203,7 @@ def read_shards(spark: SparkSession, path: str, with_tokens: bool = False, first
 
     Shards before the one of first_slot are not opened. Every record's end is checked.
     """
+    small_batches(spark)
     manifest = json.loads(spark.read.text(f"{path}/manifest").first()[0])
     schema = "doc_id long, part long, slot long, shard int, byte_offset long, n_tokens long, tokens_crc32 long" + ", tokens array<int>" * with_tokens
     if not manifest["sequences"]:

@@ -168,8 +168,8 @@ def test_decontamination(spark, docs):
                     hit |= set(range(k, k + n))
                     found |= own
         want[i, len(w), len(hit), ",".join(sorted(found))] += 1
-    for block in (decontam.BLOCK_BYTES, 40):
-        got = decontam.decontaminate(spark, docs, bench, block_bytes=block)
+    for block in (decontam.BLOCK_WINDOWS, 9):
+        got = decontam.decontaminate(spark, docs, bench, block_windows=block)
         assert Counter((r.doc_id, r.n_words, r.n_hit, ",".join(r["items"])) for r in got.collect()) == want
     assert {r.n_hit for r in decontam.decontaminate(spark, docs, bench.limit(0)).collect()} == {0}
     assert decontam.decontaminate(spark, docs.limit(0), bench).count() == 0
@@ -343,7 +343,7 @@ def test_language_id(spark, docs):
 def test_language_id_counts_ngrams_of_whole_words(spark):
     rows = [(i, "a" * 70 + ("bc" if i % 2 else "de") * 20, "xy"[i % 2]) for i in range(4)]
     model = langid.fit(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert model.predict("bcbcbc")[0] == "y" and model.predict("dedede")[0] == "x"
+    assert [x for x, _ in model.predict(["bcbcbc", "dedede"])] == ["y", "x"]
     long = "".join(map(chr, np.random.default_rng(8).integers(0x4E00, 0x9000, 150_000)))
     batch = pa.RecordBatch.from_pydict({"lang": ["z"], "word": [long], "n": [2]})
     got = list(langid._grams([batch]))
@@ -395,7 +395,7 @@ def test_chat_round_trip(spark):
     rows = [(1, t, ["user", "assistant", "system", "a: b#<", None][t % 5], x) for t, x in enumerate(CONTROL)]
     rows += [(2, None, "assistant", "z"), (2, 1, "user", "b"), (2, 1, "user", "b"), (2, 1, "assistant", "a"), (None, 0, "user", "n")]
     flat = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, tree string")
-    messages = common.materialise(spark, chat.from_turns(flat), "m")
+    messages = chat.from_turns(spark, flat)
     got = {r.tree: r for r in chat.format_trees(spark, messages).withColumn("turns", chat.parse(F.col("formatted"))).withColumn("loss", chat.masked(F.col("formatted"), F.col("loss_spans"))).collect()}
     assert [(t.role, t.text) for t in got["c1"].turns] == [(r[2] or "", r[3] or "") for r in rows[: len(CONTROL)]]
     assert got["c1"].loss == "".join(r[3] or "" for r in rows[: len(CONTROL)] if r[2] == "assistant")
