@@ -4,14 +4,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontam, langid, mixing, neardup, tokens
-from sparkloom.llm.common import fold, materialise
+from sparkloom.llm.common import discard, fold, mark, materialise
 
 #: Documents below this share of the best language are rejected, as are texts without letters.
 LEAST_SCORE = 0.5
 #: Rows to drop that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Columns that stages add and take away; no column of the documents has these names.
-ROW, COPIES, COPY = "__sparkloom_row", "__sparkloom_copies", "__sparkloom_copy"
+ROW, COPIES, COPY, FOUND = "__sparkloom_row", "__sparkloom_copies", "__sparkloom_copy", "__sparkloom_found"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -25,16 +25,22 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is recognised; the model learns from four fifths of the documents."""
+    """Keeps documents whose language is recognised; the model learns from four fifths of the documents.
+
+    Null texts and texts without letters go, whatever their lang; repeated rows are judged alike; without labelled
+    documents every row goes, as no language is known; an empty table gives an empty one.
+    """
     model = langid.fit(spark, docs.filter(fold("doc_id", 5) != 0))
-    safe = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # a column may have the name of a result
-    found = langid.identify(spark, safe, model, keep=tuple(safe.columns), text_col=safe.columns[docs.columns.index("text")])
-    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*[F.col(a).alias(b) for a, b in zip(safe.columns, docs.columns, strict=True)])
+    found = docs.withColumn(FOUND, langid.detector(spark, model)(F.col("text")))
+    return found.filter((F.col(FOUND)["lang_pred"] != "und") & (F.col(FOUND)["score"] >= LEAST_SCORE)).drop(FOUND)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row with the smallest id of each group of near duplicates: five-word shingles, similarity 0.8."""
+    """Keeps the row with the smallest id of each group of near duplicates: five-word shingles, similarity 0.8.
+
+    Null texts and texts without words are duplicates of nothing and stay; of repeated rows the first in the scan
+    stays; a null id is larger than all others; an empty table gives an empty one.
+    """
     rows = _numbered(docs)
     found = neardup.near_dedup(spark, rows, 5, 80, keep=(ROW,)).filter("component is not null").select("component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW).alias("_at"))
     found = materialise(spark, found, "groups")
@@ -44,14 +50,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents with any window of a benchmark item."""
+    """Drops documents with any window of a benchmark item.
+
+    Null texts have no window and stay, as do all rows without a benchmark; repeated rows are judged alike; an
+    empty table gives an empty one.
+    """
     rows = _numbered(docs)
     found = decontam.decontaminate(spark, rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=(ROW,))
     return _without(rows, materialise(spark, found.filter("n_hit > 0").select(ROW), "dropped"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or drops documents so that sources come near their target weights."""
+    """Repeats or drops documents so that sources come near their target weights.
+
+    Null texts and texts without words add nothing to a mix and go; a null source is a source of its own; repeated
+    rows are rounded one by one; an empty table gives an empty one.
+    """
     rows = _numbered(docs)
     taken = mixing.mix(spark, rows, row_col=ROW).filter("copies <> 1").select(F.col(ROW).cast("long").alias(ROW), F.col("copies").alias(COPIES))
     taken = materialise(spark, taken, "copies")
@@ -79,8 +93,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents; each stage's result is written to the shared folder and read again.
+
+    What a stage wrote on its way, and the result of the stage before, is deleted once its own result is there.
+    """
+    docs, start = spark.read.parquet(f"{sf_dir}/documents.parquet"), mark()
     for name, stage in STAGES[:-1]:
         docs = materialise(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(spark, start, mark() - 1)
     return STAGES[-1][1](spark, docs, sf_dir)
