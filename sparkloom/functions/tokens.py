@@ -1,9 +1,10 @@
 """Token arrays: pluggable tokenizers, truncation, padding, labels and masks."""
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 IGNORED = -100
@@ -45,6 +46,29 @@ def mask_prompt(ids: Column, prompt_length: Column) -> Column:
     return F.transform(ids, lambda x, i: F.when(i < prompt_length, F.lit(IGNORED)).otherwise(x))
 
 
+def special_tokens(text: Column, markers: tuple[str, ...], first_id: int, tokens: object = whitespace_tokens) -> Column:
+    """Ids of a text in which markers have ids of their own, first_id and so on in their order; what stands between
+    them is tokenized by itself."""
+    ids = F.create_map(*[x for i, m in enumerate(markers) for x in (F.lit(m), F.lit(first_id + i))])
+    pattern = "|".join(re.escape(m) for m in markers)
+    pieces = F.split(F.coalesce(text, F.lit("")), f"(?<={pattern})|(?={pattern})", -1)
+    return F.flatten(F.transform(pieces, lambda p: F.when(p.isin(*markers), F.array(F.try_element_at(ids, p))).otherwise(hash_ids(tokens(p)))))
+
+
+def collate(df: DataFrame, batch: str, ids: str, pad_id: int) -> DataFrame:
+    """Pads the ids of each batch to its longest row: adds input_ids, attention_mask and labels.
+
+    Labels are the ids with IGNORED for every pad id, also where it stands within a row. The batches' lengths are
+    partial maxima; rows are joined with them.
+    """
+    longest = df.groupBy(batch).agg(F.max(F.size(ids)).alias("_longest"))
+    rows = df.join(longest, batch)
+    padded = pad(F.col(ids), F.col("_longest"), pad_id)
+    mask = F.concat(F.transform(ids, lambda x: F.lit(1)), F.array_repeat(F.lit(0), F.col("_longest") - F.size(ids)))
+    labels = F.transform(padded, lambda x: F.when(x == pad_id, F.lit(IGNORED)).otherwise(x))
+    return rows.select(*df.columns, padded.alias("input_ids"), mask.alias("attention_mask"), labels.alias("labels"))
+
+
 def pad_token(pad_value: Column, end_value: Column) -> Column:
     return F.coalesce(pad_value, end_value)
 

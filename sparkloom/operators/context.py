@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import JS_SPACE, strip, strip_end, strip_start
+from ..functions.text import JS_SPACE, starts_with_any, strip, strip_end, strip_start
 
 
 def context_windows(rows: DataFrame, cursor: Column, before: int = 40, after: int = 20, id_col: str = "doc_id") -> DataFrame:
@@ -38,7 +38,17 @@ def token_budget(kind: Column) -> Column:
 
 def suppressed(line: Column) -> Column:
     """Whether a line asks for no suggestion: comments and directives."""
-    return strip(line, JS_SPACE).rlike(r"^[#.]")
+    return starts_with_any(strip_start(line), ("#", "."))
+
+
+def asks(line: Column, prefix: Column) -> Column:
+    """Whether a suggestion is asked for: the line is not suppressed and the prefix, its start trimmed, is not empty."""
+    return ~suppressed(line) & (strip_start(prefix) != "")
+
+
+def shown(suggestion: Column, request: Column, newest: Column) -> Column:
+    """Whether a suggestion is shown: its request is still the newest one, and there is something to show."""
+    return F.coalesce((request == newest) & (strip(suggestion, JS_SPACE) != ""), F.lit(False))
 
 
 def feedback(choice: Column) -> Column:

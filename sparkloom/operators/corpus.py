@@ -5,10 +5,10 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import cut_comment, first_token, strip
+from ..functions.text import cut_comment, first_token, starts_with_any, strip
 
 #: Beginnings of lines that are no code.
-NOT_CODE = r"^(#|//|;|TEST|RVTEST)"
+NOT_CODE = ("#", "//", ";", "TEST", "RVTEST")
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -18,7 +18,7 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def clean_lines(rows: DataFrame, line: str = "line") -> DataFrame:
     """Stripped lines that are neither empty nor begin as comments or test macros; other columns stay."""
-    return rows.withColumn(line, strip(F.col(line))).filter((F.col(line) != "") & ~F.col(line).rlike(NOT_CODE))
+    return rows.withColumn(line, strip(F.col(line))).filter((F.col(line) != "") & ~starts_with_any(F.col(line), NOT_CODE))
 
 
 def opcodes(rows: DataFrame, line: str = "line") -> DataFrame:

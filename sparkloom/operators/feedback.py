@@ -2,22 +2,65 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
+from ..config import DEFAULT
+from ..functions.text import iso_timestamp
 
+#: Words for true and false in requests, and the message that a rating was stored.
+YES, NO = ("true", "t", "yes", "y", "on", "1"), ("false", "f", "no", "n", "off", "0")
+SAVED = "Rating saved"
 
-def parse_requests(body: Column, schema: object, defaults: dict, required: tuple[str, ...]) -> tuple[Column, Column]:
-    """(record, status) of JSON bodies: missing fields get defaults; 422 if a required field is missing or the
-    body cannot be read, else 200."""
-    parsed = F.from_json(body, schema)
-    fields = [F.coalesce(parsed[f.name], F.lit(defaults[f.name])).alias(f.name) if f.name in defaults else parsed[f.name].alias(f.name) for f in schema.fields]
-    bad = parsed.isNull()
-    for name in required:
-        bad = bad | parsed[name].isNull()
-    return F.struct(*fields), F.when(bad, 422).otherwise(200)
 
+def _typed(body: Column, name: str, kind: T.DataType) -> tuple[Column, Column, Column]:
+    """(value, whether the field is there, whether its JSON type is right) by the usual lax rules of web requests:
+    texts are texts only; whole numbers, also as 1.0, true or "1", are integers; 0, 1 and words for yes and no are booleans."""
+    part = F.try_variant_get(body, f"$.{name}", "variant")
+    found, text = F.coalesce(F.schema_of_variant(part), F.lit("")), F.try_variant_get(body, f"$.{name}", "string")
+    if isinstance(kind, T.StringType):
+        return text, part.isNotNull(), found == "STRING"
+    word = F.lower(F.trim(text))
+    if isinstance(kind, T.BooleanType):
+        value = F.when(word.isin(*YES) | (F.try_to_number(word, F.lit("9D9")) == 1), True).when(word.isin(*NO) | (F.try_to_number(word, F.lit("9D9")) == 0), False)
+    else:
+        number = F.when(found == "BOOLEAN", F.when(word == "true", 1).otherwise(0)).otherwise(F.when(word.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.substring_index(word, ".", 1)).try_cast("decimal(38,0)"))
+        value = F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(-(1 << 31))), F.lit((1 << 31) - 1))).cast(kind)
+    return value, part.isNotNull(), value.isNotNull() & ~found.rlike("^(OBJECT|ARRAY)")
 
-def generate_detail(prefix: Column, max_new_tokens: Column, longest: int = 512) -> Column:
+
+def parse_requests(body: Column, schema: T.StructType, defaults: dict, required: tuple[str, ...]) -> tuple[Column, Column]:
+    """(record, status) of JSON bodies: missing fields get defaults; 422 if the body is no JSON object, a required
+    field is missing, or a field has a wrong type (null is one but for fields that may be null), else 200."""
+    parsed = F.try_parse_json(body)
+    fields, bad = [], ~F.coalesce(F.schema_of_variant(parsed), F.lit("")).startswith("OBJECT")
+    for f in schema.fields:
+        value, there, right = _typed(parsed, f.name, f.dataType)
+        void = F.coalesce(F.schema_of_variant(F.try_variant_get(parsed, f"$.{f.name}", "variant")) == "VOID", F.lit(False))
+        optional = f.name not in defaults and f.name not in required
+        bad = bad | F.when(there, ~(right | void if optional else right)).otherwise(F.lit(f.name in required))
+        fields.append((F.when(there, value).otherwise(F.lit(defaults[f.name])) if f.name in defaults else value).alias(f.name))
+    bad = F.coalesce(bad, F.lit(True))
+    return F.when(~bad, F.struct(*fields)), F.when(bad, 422).otherwise(200)
+
+
+def response(status: Column, detail: Column, success: Column) -> Column:
+    """The JSON body of an answer: success (a struct) for 200, else the reason."""
+    return F.when(status == 200, F.to_json(success)).otherwise(F.to_json(F.struct(detail.alias("detail"))))
+
+
+def saved() -> Column:
+    return F.struct(F.lit(SAVED).alias("message"))
+
+
+def generated(code: Column) -> Column:
+    return F.struct(code.alias("generated_code"))
+
+
+# Fixed values in the next two functions: the reasons that clients are told.
+
+
+def generate_detail(prefix: Column, max_new_tokens: Column, longest: int = DEFAULT.max_input_length) -> Column:
     """Why a prompt is refused, the first reason; null if it is fine. Lengths are in code points."""
     return (
         F.when(F.coalesce(prefix, F.lit("")) == "", "Prefix is required")
@@ -41,7 +84,7 @@ def status(detail: Column) -> Column:
 
 def with_defaults(rows: DataFrame, now: Column | None = None) -> DataFrame:
     """Stored form: a missing or empty timestamp becomes now, accepted a number; ts is the parsed time."""
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") if now is None else now
+    now = iso_timestamp(F.current_timestamp()) if now is None else now
     out = rows.withColumn("timestamp", F.coalesce(F.nullif(F.col("timestamp"), F.lit("")), now)).withColumn("accepted", F.col("accepted").cast("int"))
     return out.withColumn("ts", F.try_to_timestamp("timestamp"))
 
@@ -55,36 +98,48 @@ def evolved(rows: DataFrame) -> DataFrame:
 
 
 def init_table(spark: SparkSession, table: str) -> None:
-    """Creates the table if it is missing, else adds the columns that it lacks; may be repeated."""
+    """Creates the table if it is missing, else adds the columns that it lacks; may be repeated.
+
+    Beside the columns of a rating it has request_key, which makes repeated writes of a request idempotent.
+    """
     if not spark.catalog.tableExists(table):
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" default {schemas.RATING_ADDED[f.name][1]}" if f.name in schemas.RATING_ADDED else "") for f in schemas.RATING_TABLE)
-        spark.sql(f"create table {table} ({fields}) using parquet")
+        spark.sql(f"create table {table} ({fields}, request_key string) using parquet")
         return
     have = {c.name for c in spark.catalog.listColumns(table)}
     for name, (kind, default) in schemas.RATING_ADDED.items():
         if name not in have:
             spark.sql(f"alter table {table} add column `{name}` {kind} default {default}")
+    if "request_key" not in have:
+        spark.sql(f"alter table {table} add column request_key string")
 
 
 def save(spark: SparkSession, rows: DataFrame, table: str) -> None:
     """Appends valid rows with consecutive ids in the order of ts that follow the largest one; one writer at a time.
 
-    Rows are range partitioned and numbered there, the counts of the partitions give the offsets. The partitions
-    are kept until the end, as another reading would sample other bounds.
+    Refused ratings are an error: the table has no constraint of its own. Rows are range partitioned and numbered
+    there, the counts of the partitions give the offsets. The partitions are kept until the end, as another reading
+    would sample other bounds. Rows may have a request_key.
     """
     spark.catalog.refreshTable(table)
     last = spark.table(table).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     order = ["ts", *schemas.RATING_COLUMNS]
-    placed = with_defaults(rows).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()).persist()
+    detail = rating_detail(F.col("suggestion"), F.col("rating"), F.col("suggestion_type"))
+    checked = with_defaults(rows).withColumn("rating", F.when(detail.isNull(), F.col("rating")).otherwise(F.raise_error(detail).cast("int")))
+    if "request_key" not in rows.columns:
+        checked = checked.withColumn("request_key", F.lit(None).cast("string"))
+    placed = checked.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()).persist()
     try:
         pid = F.shiftright("_mid", 33)
         offsets, before = [], last
         for p, n in sorted(tuple(r) for r in placed.groupBy(pid.alias("p")).count().collect()):
             offsets.append((p, before))
             before += n
-        at = placed.sparkSession.createDataFrame(offsets, "_pid long, _before long")
+        at = spark.createDataFrame(offsets, "_pid long, _before long")
         numbered = placed.withColumn("_pid", pid).join(F.broadcast(at), "_pid").withColumn("id", F.col("_mid").bitwiseAND((1 << 33) - 1) + F.col("_before") + 1)
-        numbered.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RATING_TABLE]).write.insertInto(table)
+        have = [c.name for c in spark.catalog.listColumns(table)]
+        kinds = {f.name: f.dataType for f in schemas.RATING_TABLE} | {"request_key": T.StringType()}
+        numbered.select(*[F.col(c).cast(kinds[c]).alias(c) for c in have]).write.insertInto(table)
     finally:
         placed.unpersist()
 
@@ -96,10 +151,58 @@ def find_all(spark: SparkSession, table: str) -> DataFrame:
 
 
 def flush(queue: DataFrame, stored_keys: DataFrame, key: str) -> DataFrame:
-    """Retries a queue: adds state `delivered`, `duplicate` (its key is stored already) or `parked` (refused).
+    """Retries a queue: adds state `delivered`, `duplicate` (its key is stored already, or an earlier valid row of the
+    queue has it) or `parked` (refused).
 
-    Rows come from one reading of the queue; what arrives meanwhile is not touched. Keys make retries idempotent.
+    Rows come from one reading of the queue; what arrives meanwhile is not touched. Earlier is what comes first in
+    the scan, of a written table the same in each reading. The first rows of keys are found by partial aggregation;
+    a key with very many rows is a skewed side of the join, which adaptive execution splits. A null key is no
+    duplicate of any.
     """
     detail = rating_detail(F.col("suggestion"), F.col("rating"), F.col("suggestion_type"))
-    known = stored_keys.select(key).distinct().withColumn("_known", F.lit(True))
-    return queue.join(known, key, "left").withColumn("state", F.when(detail.isNotNull(), "parked").when(F.col("_known"), "duplicate").otherwise("delivered")).withColumn("detail", detail).drop("_known")
+    rows = queue.withColumn("detail", detail).withColumn("_at", F.monotonically_increasing_id())
+    first = rows.filter(F.col("detail").isNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min("_at").alias("_first"))
+    known = stored_keys.filter(F.col(key).isNotNull()).select(key).distinct().withColumn("_known", F.lit(True))
+    again = F.coalesce(F.col("_known"), F.lit(False)) | F.coalesce(F.col("_first") < F.col("_at"), F.lit(False))
+    state = F.when(F.col("detail").isNotNull(), "parked").when(again, "duplicate").otherwise("delivered")
+    return rows.join(first, key, "left").join(known, key, "left").withColumn("state", state).drop("_at", "_first", "_known")
+
+
+def init_queue(spark: SparkSession, queue: str) -> None:
+    """Creates the table of ratings that wait to be delivered; generations tell what a retry has left."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.RATING_REQUEST)
+    spark.sql(f"create table if not exists {queue} (request_key string, {fields}, generation int) using parquet partitioned by (generation)")
+
+
+def enqueue(spark: SparkSession, rows: DataFrame, queue: str) -> None:
+    """Appends rows (request_key and the fields of a request) to the current generation of the queue."""
+    now = spark.table(queue).agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
+    rows.select("request_key", *schemas.RATING_REQUEST.names, F.lit(now).alias("generation")).write.insertInto(queue)
+    spark.catalog.refreshTable(queue)
+
+
+def drain(spark: SparkSession, queue: str, table: str) -> dict[str, int]:
+    """Retries the queue: stores what is valid and new, drops duplicates, keeps refused rows; counts by state.
+
+    The refused rows become the next generation before the old ones are dropped, and stored rows have their keys,
+    so that a repetition after a failure at any point stores nothing twice and loses nothing. Rows that are queued
+    meanwhile belong to a generation that is not dropped. An empty queue is left as it is.
+    """
+    spark.catalog.refreshTable(queue)
+    spark.catalog.refreshTable(table)
+    old = [r[0] for r in spark.table(queue).select("generation").distinct().collect()]
+    if not old:
+        return {}
+    spark.sql(f"alter table {queue} add if not exists partition (generation = {max(old) + 1})")
+    rows = flush(spark.table(queue).filter(F.col("generation").isin(old)), spark.table(table).select("request_key"), "request_key").persist()
+    try:
+        counts = dict(tuple(r) for r in rows.groupBy("state").count().collect())
+        save(spark, rows.filter("state = 'delivered'").select("request_key", *schemas.RATING_COLUMNS), table)
+        parked = rows.filter("state = 'parked'").select("request_key", *schemas.RATING_REQUEST.names, F.lit(max(old) + 1).alias("generation"))
+        parked.write.insertInto(queue)
+    finally:
+        rows.unpersist()
+    for generation in old:
+        spark.sql(f"alter table {queue} drop if exists partition (generation = {generation})")
+    spark.catalog.refreshTable(queue)
+    return counts

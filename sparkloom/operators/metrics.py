@@ -40,22 +40,22 @@ def tokens_13a(text: Column) -> Column:
     return whitespace_tokens(t)
 
 
-def _ngrams(tokens: Column, n: int) -> Column:
-    return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(F.array().cast("array<string>"))
+def _ngrams(tokens: Column, side: str, n: int) -> Column:
+    """Structs of side, n and gram; none if there are fewer than n tokens."""
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(1))), lambda i: i + (n - 1) <= F.size(tokens))
+    return F.transform(places, lambda i: F.struct(F.lit(side).alias("side"), F.lit(n).alias("n"), F.array_join(F.slice(tokens, i, n), " ").alias("gram")))
 
 
 def bleu_counts(pairs: DataFrame, key: str, tokens: object = whitespace_tokens, longest: int = 4) -> DataFrame:
     """One row: sums over all pairs of matched_n and total_n, and lengths ref_len, hyp_len.
 
-    n-grams of a pair are counted and clipped within the pair; a shuffle by (pair, n, gram) spreads long pairs.
+    Pairs are read and tokenized once. n-grams of a pair are counted and clipped within the pair; a shuffle by
+    (pair, n, gram) spreads long pairs.
     """
-    rows = pairs.select(key, tokens(F.coalesce(F.col("reference"), F.lit(""))).alias("_r"), tokens(F.coalesce(F.col("generated"), F.lit(""))).alias("_h"))
-    each = None
-    for side, c in (("r", "_r"), ("h", "_h")):
-        for n in range(1, longest + 1):
-            one = rows.select(key, F.lit(side).alias("side"), F.lit(n).alias("n"), F.explode(_ngrams(F.col(c), n)).alias("gram"))
-            each = one if each is None else each.unionByName(one)
-    counted = each.groupBy(key, "n", "gram").agg(F.count_if(F.col("side") == "r").alias("r"), F.count_if(F.col("side") == "h").alias("h"))
+    rows = pairs.select(F.col(key).alias("_key"), tokens(F.coalesce(F.col("reference"), F.lit(""))).alias("_r"), tokens(F.coalesce(F.col("generated"), F.lit(""))).alias("_h"))
+    grams = F.concat(*[_ngrams(F.col(c), side, n) for side, c in (("r", "_r"), ("h", "_h")) for n in range(1, longest + 1)])
+    each = rows.select("_key", F.explode(grams).alias("_g")).select("_key", "_g.*")
+    counted = each.groupBy("_key", "n", "gram").agg(F.count_if(F.col("side") == "r").alias("r"), F.count_if(F.col("side") == "h").alias("h"))
     return counted.agg(
         *[F.coalesce(F.sum(F.when(F.col("n") == n, F.least("r", "h"))), F.lit(0)).alias(f"matched_{n}") for n in range(1, longest + 1)],
         *[F.coalesce(F.sum(F.when(F.col("n") == n, F.col("h"))), F.lit(0)).alias(f"total_{n}") for n in range(1, longest + 1)],
@@ -79,6 +79,17 @@ def bleu(counts: DataFrame, longest: int = 4) -> DataFrame:
     return counts.withColumn("bleu", F.when(F.col("matched_1") == 0, 0.0).otherwise(F.coalesce(100 * brevity * F.exp(logs / longest), F.lit(0.0))))
 
 
+def reference_length(prompt_ids: Column, full_ids: Column, window: int = 512) -> Column:
+    """Reference tokens that a model sees: the full text is cut to the window, the prompt alone is not."""
+    return F.least(F.size(full_ids), F.lit(window)) - F.size(prompt_ids)
+
+
+def metric_row(loss: Column, runtime: Column, rows: Column, steps: Column, epoch: Column) -> Column:
+    """The evaluation's metrics as one struct: loss, runtime in seconds, rows and steps a second, epoch."""
+    rate = lambda n: F.round(F.try_divide(n, runtime), 3)
+    return F.struct(loss.alias("eval_loss"), runtime.alias("eval_runtime"), rate(rows).alias("eval_samples_per_second"), rate(steps).alias("eval_steps_per_second"), epoch.alias("epoch"))
+
+
 def perplexity(loss: Column) -> Column:
     """exp(loss); null where that is not finite."""
     p = F.exp(loss)

@@ -1,11 +1,17 @@
 """Queries of the library by name, with the SQL that gives the same rows."""
 
+import random
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
+from ..functions import models
 from ..functions import text as T
 from ..functions import tokens as K
 from ..operators import context, corpus, feedback, metrics, results
+from ..sources import readers
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -21,7 +27,15 @@ def query(sql: str):
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return readers.table(spark, sf_dir, table)
+
+
+def _fresh(spark: SparkSession, name: str) -> str:
+    """A new name for a table of a query; what an earlier run of this session has left is dropped. Another session
+    with the same warehouse may still use its own."""
+    for t in spark.catalog.listTables(pattern=f"sparkloom_{name}_*"):
+        spark.sql(f"drop table {t.name}")
+    return f"sparkloom_{name}_{uuid.uuid4().hex}"
 
 
 # Lines of documents, some turned into comments and the like, as real corpora have them.
@@ -212,13 +226,22 @@ def q13_rating_defaults(spark, sf_dir):
 
 @query(f"""with {RATINGS} select prefix, suffix, suggestion, rating, suggestion_type, accepted, "timestamp" from ratings where {DETAIL} is null""")
 def q14_rating_scan(spark, sf_dir):
-    return _ratings(spark, sf_dir).filter(_detail().isNull()).drop("event_id")
+    """Valid ratings are stored in a table, which is read again; times that the table filled in are shown empty."""
+    table = _fresh(spark, "q14")
+    feedback.init_table(spark, table)
+    feedback.save(spark, _ratings(spark, sf_dir).filter(_detail().isNull()).drop("event_id"), table)
+    given = F.col("timestamp").rlike("^2026-01-0[1-9]T00:00:00.000Z$")
+    return feedback.find_all(spark, table).withColumn("timestamp", F.when(given, F.col("timestamp")).otherwise(""))
 
 
 @query(f"""with {RATINGS} select event_id as id, prefix, '' as suffix, suggestion, rating, 'realtime' as suggestion_type, 1 as accepted, '' as "timestamp" from ratings where {DETAIL} is null""")
 def q15_schema_evolution(spark, sf_dir):
-    old = _ratings(spark, sf_dir).filter(_detail().isNull()).select(F.col("event_id").alias("id"), "prefix", "suggestion", "rating")
-    return feedback.evolved(old)
+    """A table of the oldest form gets the columns that it lacks; its rows read their defaults."""
+    table = _fresh(spark, "q15")
+    spark.sql(f"create table {table} (id long, prefix string, suggestion string, rating int) using parquet")
+    _ratings(spark, sf_dir).filter(_detail().isNull()).select(F.col("event_id").alias("id"), "prefix", "suggestion", "rating").write.insertInto(table)
+    feedback.init_table(spark, table)
+    return spark.table(table).drop("request_key")
 
 
 @query(f"""with {LINES}, w as (select doc_id, line_no, line, cast(length(line) // 2 as int) as cut,
@@ -351,3 +374,149 @@ def q31_dataset_perplexity(spark, sf_dir):
 def q32_feedback_choice(spark, sf_dir):
     choice = F.when(F.col("event_type") == "click", "helpful").when(F.col("event_type") == "view", "not helpful").otherwise("")
     return _read(spark, sf_dir, "events").select("event_id", context.feedback(choice).alias("rating"), (F.col("event_id") + 1).alias("line_number"))
+
+
+#: Bodies of requests by event_id % 12, with the status, rating and accepted that they get.
+BODIES = (
+    ('{"prefix":"p","suggestion":"s"}', 200, None, True), ('{"prefix":"p","suggestion":"s","rating":"x"}', 422, None, None),
+    ('{"prefix":"p","suggestion":"s","rating":1.5}', 422, None, None), ('{"prefix":"p","suggestion":"s","accepted":"maybe"}', 422, None, None),
+    ('{"prefix":"p","suggestion":"s","suffix":null}', 422, None, None), ('{"prefix":5,"suggestion":"s"}', 422, None, None),
+    ('{"prefix":"p","suggestion":"s","rating":null}', 200, None, True), ('{"prefix":"p","suggestion":"s","rating":"1","accepted":"no"}', 200, 1, False),
+    ("no JSON", 422, None, None), ('["p","s"]', 422, None, None), ('{"prefix":"p"}', 422, None, None), ('{"prefix":"","suggestion":"s","rating":true,"accepted":0}', 200, 1, False),
+)
+
+
+def _sql_case(values: list) -> str:
+    return "case event_id % 12 " + " ".join(f"when {i} then {'null' if v is None else v}" for i, v in enumerate(values)) + " end"
+
+
+@query(f"""select event_id, cast({_sql_case([b[1] for b in BODIES])} as int) as status, cast({_sql_case([b[2] for b in BODIES])} as int) as rating, cast({_sql_case([b[3] for b in BODIES])} as boolean) as accepted,
+  case when {_sql_case([b[1] for b in BODIES])} = 200 then 'realtime' end as suggestion_type from events""")
+def q33_request_types(spark, sf_dir):
+    body = F.element_at(F.array(*[F.lit(b[0]) for b in BODIES]), (F.col("event_id") % 12 + 1).cast("int"))
+    record, status = feedback.parse_requests(F.col("body"), schemas.RATING_REQUEST, schemas.RATING_DEFAULTS, schemas.RATING_REQUIRED)
+    rows = _read(spark, sf_dir, "events").select("event_id", body.alias("body")).select("event_id", record.alias("r"), status.alias("status"))
+    return rows.select("event_id", "status", "r.rating", "r.accepted", "r.suggestion_type")
+
+
+@query(f"""with {RATINGS} select event_id, case when d is null then '{{"message":"Rating saved"}}' else '{{"detail":"' || d || '"}}' end as body from (select event_id, {DETAIL} as d from ratings)""")
+def q34_responses(spark, sf_dir):
+    detail = _detail()
+    return _ratings(spark, sf_dir).select("event_id", feedback.response(feedback.status(detail), detail, feedback.saved()).alias("body"))
+
+
+JS_STRIP = r"regexp_replace({}, '^[\t-\r \x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}\x{{feff}}]+', '')"
+
+
+@query(f"""with {LINES}, p as (select doc_id, line_no, line, left(line, cast((doc_id + line_no) % 4 as int)) as prefix, case when line_no % 3 = 0 then '   ' else line end as suggestion from lines)
+select doc_id, count(*) filter (not regexp_matches({JS_STRIP.format("line")}, '^[#.]') and {JS_STRIP.format("prefix")} <> '') as asked,
+  count(*) filter ((line_no + doc_id) % 2 = 0 and {JS_STRIP.format("suggestion")} <> '') as shown from p group by doc_id""")
+def q35_suggestion_filters(spark, sf_dir):
+    m = F.col("doc_id") + F.col("line_no")
+    rows = _lines(spark, sf_dir).withColumn("prefix", F.substring("line", F.lit(1), (m % 4).cast("int"))).withColumn("suggestion", F.when(F.col("line_no") % 3 == 0, "   ").otherwise(F.col("line")))
+    return rows.groupBy("doc_id").agg(
+        F.count_if(context.asks(F.col("line"), F.col("prefix"))).alias("asked"),
+        F.count_if(context.shown(F.col("suggestion"), F.col("line_no"), F.col("line_no") + m % 2)).alias("shown"),
+    )
+
+
+@query(f"""with {TOKENS}, e as (select doc_id, i - 1 as pos, t[i] as token, cast('0x' || substr(md5(t[i]), 1, 6) as int) as id from docs, unnest(generate_series(1, len(t))) as g(i)),
+top as (select id, count(*) as n, min((doc_id, pos)) as first_seen from e group by id order by n desc, first_seen limit 10),
+vocabulary as (select id, min(token) as token from e group by id)
+select id, n, token from top join vocabulary using (id)""")
+def q36_token_ids_top10(spark, sf_dir):
+    """Counts of ids; the ten most frequent are looked up in the vocabulary, as are their tokens."""
+    tokens = K.whitespace_tokens(F.col("text"))
+    pairs = _read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.arrays_zip(K.hash_ids(tokens).alias("id"), tokens.alias("token"))).alias("pos", "t")).select("doc_id", "pos", "t.id", "t.token")
+    counts = pairs.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first_seen"), F.min("token").alias("token"))
+    top = corpus.most_common(counts, 10)
+    words = top.agg(F.map_from_entries(F.collect_list(F.struct("id", "token"))).alias("vocabulary"))  # ten entries
+    return top.select("id", "n").crossJoin(F.broadcast(words)).select("id", "n", K.id_to_token(F.array("id"), F.col("vocabulary"))[0].alias("token"))
+
+
+@query(f"""with {TOKENS}, {IDS}, c as (select doc_id, ids[1:64] as ids, max(len(ids[1:64])) over (partition by doc_id // 8) as longest from ids),
+p as (select doc_id, len(ids) as n, longest, list_resize(ids, longest, 7) as input_ids from c)
+select doc_id, cast(longest as int) as longest, md5(array_to_string(input_ids, ',')) as input_ids, cast(n as bigint) as attended, md5(array_to_string(list_transform(input_ids, lambda x: case when x = 7 then -100 else x end), ',')) as labels from p""")
+def q37_collate(spark, sf_dir):
+    rows = _ids(spark, sf_dir).select("doc_id", F.floor(F.col("doc_id") / 8).alias("batch"), K.truncate(F.col("ids"), 64).alias("ids"))
+    got = K.collate(rows, "batch", "ids", 7)
+    digest = lambda c: F.md5(F.array_join(F.col(c).cast("array<string>"), ",")).alias(c)
+    attended = F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("attended")
+    return got.select("doc_id", F.size("input_ids").alias("longest"), digest("input_ids"), attended, digest("labels"))
+
+
+PLAIN_IDS = r"list_transform(list_filter(regexp_split_to_array({}, '\s+'), lambda x: x <> ''), lambda x: cast('0x' || substr(md5(x), 1, 6) as int))"
+
+
+@query(f"""with {PAIRS} select conv_id, turn, md5(array_to_string([16777216] || {PLAIN_IDS.format("prefix")} || [16777217] || {PLAIN_IDS.format("suffix")} || [16777218], ',')) as ids,
+  cast(len({PLAIN_IDS.format("prefix")}) as int) + 1 as suffix_at from pairs""")
+def q38_special_tokens(spark, sf_dir):
+    markers = ("<fim_prefix>", "<fim_suffix>", "<fim_middle>")
+    ids = K.special_tokens(T.fim_prompt(F.col("prefix"), F.col("suffix"), markers), markers, 1 << 24)
+    rows = _turn_pairs(spark, sf_dir).select("conv_id", "turn", ids.alias("_ids"))
+    return rows.select("conv_id", "turn", F.md5(F.array_join(F.col("_ids").cast("array<string>"), ",")).alias("ids"), (F.array_position("_ids", (1 << 24) + 1) - 1).cast("int").alias("suffix_at"))
+
+
+@query("""select event_id, case when event_id % 10 = 0 then null when event_id % 2 = 0 then epoch_us(ts) // 1000 * 1000 else epoch_us(ts) end as micros,
+  case when event_id % 10 <> 0 then strftime(ts, '%Y%m%d_%H%M%S') end as stamp from events""")
+def q39_timestamps(spark, sf_dir):
+    """Times written in two formats, or not at all, and read again."""
+    ts = F.col("ts").cast("timestamp")
+    text = F.when(F.col("event_id") % 10 == 0, "").when(F.col("event_id") % 2 == 0, T.js_timestamp(ts)).otherwise(T.iso_timestamp(ts))
+    read = F.try_to_timestamp("text")
+    return _read(spark, sf_dir, "events").select("event_id", text.alias("text")).select("event_id", F.unix_micros(read).alias("micros"), T.run_stamp(read).alias("stamp"))
+
+
+@query(f"""with {RATINGS}, q as (select cast(event_id as varchar) as request_key, {DETAIL} as d from ratings)
+select request_key, case when d is null then 'stored' else 'waiting' end as state, cast(case when d is null then 1 else 2 end as bigint) as n from q""")
+def q40_retry_queue_drain(spark, sf_dir):
+    """Every rating is queued twice; a retry stores valid ones once and leaves the refused rows, and a second one changes nothing."""
+    table, queue = _fresh(spark, "q40"), _fresh(spark, "queue")
+    feedback.init_table(spark, table)
+    feedback.init_queue(spark, queue)
+    rows = _ratings(spark, sf_dir).withColumn("request_key", F.col("event_id").cast("string"))
+    for _ in range(2):
+        feedback.enqueue(spark, rows, queue)
+    for _ in range(2):
+        feedback.drain(spark, queue, table)
+    both = spark.table(table).select("request_key", F.lit("stored").alias("state")).unionByName(spark.table(queue).select("request_key", F.lit("waiting").alias("state")))
+    return both.groupBy("request_key", "state").agg(F.count("*").alias("n"))
+
+
+@query(f"""with {TOKENS}, {IDS}, k as (select doc_id, [x % 1000 / 100 for x, i in ids if i > doc_id % 50] as losses from ids)
+select doc_id, round(list_avg(losses), 6) as loss, round(exp(list_avg(losses)), 3) as perplexity from k""")
+def q41_mean_loss(spark, sf_dir):
+    """Mean loss over the tokens behind the prompt, and its exponential."""
+    losses = F.transform("ids", lambda x: (x % 1000) / 100)
+    loss = models.mean_loss(losses, K.mask_prompt(F.col("ids"), F.col("doc_id") % 50))
+    return _ids(spark, sf_dir).select("doc_id", loss.alias("l")).select("doc_id", F.round("l", 6).alias("loss"), F.round(metrics.perplexity(F.col("l")), 3).alias("perplexity"))
+
+
+@query("""with m as (select lang, avg(n_chars) / 1000 as loss, sum(n_chars) / 7000 as runtime, count(*) as n, ceil(count(*) / 8) as steps from documents group by lang)
+select lang, round(loss, 6) as eval_loss, round(n / runtime, 3) as eval_samples_per_second, round(steps / runtime, 3) as eval_steps_per_second, 'loss: ' || format('{:.4f}', loss) as line from m""")
+def q42_evaluation_metrics(spark, sf_dir):
+    loss, runtime, n = F.avg("n_chars") / 1000, F.sum("n_chars") / 7000, F.count("*")
+    rows = _read(spark, sf_dir, "documents").groupBy("lang").agg(loss.alias("loss"), runtime.alias("runtime"), n.alias("n"))
+    row = metrics.metric_row(F.col("loss"), F.col("runtime"), F.col("n"), F.ceil(F.col("n") / 8), F.lit(5.0))
+    got = rows.select("lang", row.alias("m"), results.report_line("loss", F.col("loss")).alias("line"))
+    return got.select("lang", F.round("m.eval_loss", 6).alias("eval_loss"), "m.eval_samples_per_second", "m.eval_steps_per_second", "line")
+
+
+@query(f"""with {PAIRS}, n as (select conv_id, turn, len({PLAIN_IDS.format("prefix || ' ' || suffix")}) as p, len({PLAIN_IDS.format("prefix || ' ' || suffix || ' ' || reference")}) as f from pairs)
+select conv_id, turn, cast(least(f, 64) - p as int) as ref_len, least(f, 64) - p > 0 as scored from n""")
+def q43_reference_window(spark, sf_dir):
+    """Reference tokens left in the window of a prompt that is not cut itself; rows without any are not scored."""
+    prompt = F.concat_ws(" ", "prefix", "suffix")
+    ids = lambda text: K.hash_ids(K.whitespace_tokens(text))
+    length = metrics.reference_length(ids(prompt), ids(F.concat_ws(" ", prompt, "reference")), 64)
+    return _turn_pairs(spark, sf_dir).select("conv_id", "turn", length.alias("ref_len")).select("*", (F.col("ref_len") > 0).alias("scored"))
+
+
+PICKS = ", ".join(f"({n}, {at + 1}, {place + 1})" for n in (1000, 10_000) for at, place in enumerate(random.Random(42).sample(range(n), 200)))
+
+
+@query(f"""with r as (select doc_id, row_number() over (order by doc_id) as place, (select count(*) from documents) as n from documents)
+select doc_id, cast(pos as bigint) as sample_pos from r join (values {PICKS}) as p(n, pos, place) using (n, place)""")
+def q44_seeded_sample(spark, sf_dir):
+    """The sample that a seeded generator takes of the documents in the order of their ids; its SQL knows 1,000 and 10,000 rows."""
+    return corpus.sample_seeded(spark, _read(spark, sf_dir, "documents").select("doc_id"), [F.col("doc_id")]).select("doc_id", F.col("sample_pos").cast("long").alias("sample_pos"))

@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+from .config import DEFAULT
+
 _KINDS = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
 
 
@@ -11,10 +13,11 @@ def _fields(text: str) -> T.StructType:
     return T.StructType([T.StructField(n, _KINDS[k]) for n, k in pairs])
 
 
+# Names, types and defaults of the fields of requests, of the rating table and of results.
 PROMPT_REQUEST = _fields("prefix string, suffix string, max_new_tokens int")
 RATING_REQUEST = _fields("prefix string, suffix string, suggestion string, rating int, suggestion_type string, accepted boolean, timestamp string")
 #: Defaults of missing fields; fields without one are required.
-PROMPT_DEFAULTS = {"suffix": "", "max_new_tokens": 30}
+PROMPT_DEFAULTS = {"suffix": "", "max_new_tokens": DEFAULT.default_max_new_tokens}
 RATING_DEFAULTS = {"suffix": "", "suggestion_type": "realtime", "accepted": True, "timestamp": ""}
 PROMPT_REQUIRED, RATING_REQUIRED = ("prefix",), ("prefix", "suggestion")
 

@@ -12,6 +12,14 @@ from pyspark.sql import types as T
 from ..schemas import EXAMPLE
 
 
+def table(spark: SparkSession, folder: str, name: str, least: int = 32 << 20) -> DataFrame:
+    """A parquet table of a folder. One that is small, and in fewer files than there are cores, is dealt over all of
+    them, as a row group is read by one task; others come as they are scanned."""
+    df, cores = spark.read.parquet(f"{folder}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * least and len(df.inputFiles()) < cores else df
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, line_no, line) of text files; \\n, \\r\\n and lone \\r end a line, as in Python."""
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value"))

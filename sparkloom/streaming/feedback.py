@@ -14,16 +14,20 @@ from ..operators import feedback
 def ingest(spark: SparkSession, bodies: DataFrame, table: str, dead_letters: str, checkpoint: str) -> DataStreamWriter:
     """Stores valid ratings in a table and all others, with status and reason, as JSON lines in dead_letters.
 
-    Each micro-batch is parsed once; a batch that is repeated after a failure writes its own dead-letter folder
-    again. Bodies that cannot be read or lack a field are 422, refused ones 400.
+    Each micro-batch is parsed once. Its rows are stored under a key of the checkpoint and the batch's number: one
+    that is repeated after a failure is not stored again, and writes its own dead-letter folder anew. Bodies that
+    cannot be read, lack a field or have a wrong type are 422, refused ones 400.
     """
     record, parsed = feedback.parse_requests(F.col("body"), schemas.RATING_REQUEST, schemas.RATING_DEFAULTS, schemas.RATING_REQUIRED)
 
     def batch(rows: DataFrame, number: int) -> None:
         read = rows.select("body", record.alias("r"), parsed.alias("status")).select("body", "status", "r.*").persist()
         detail = feedback.rating_detail(F.col("suggestion"), F.col("rating"), F.col("suggestion_type"))
-        checked = read.withColumn("detail", F.when(F.col("status") == 422, "a field is missing or the body cannot be read").otherwise(detail)).withColumn("status", F.when(F.col("status") == 422, 422).otherwise(feedback.status(detail)))
-        feedback.save(spark, checked.filter("status = 200").select(*schemas.RATING_COLUMNS), table)
+        checked = read.withColumn("detail", F.when(F.col("status") == 422, "a field is missing or wrong, or the body cannot be read").otherwise(detail)).withColumn("status", F.when(F.col("status") == 422, 422).otherwise(feedback.status(detail)))
+        key = f"{checkpoint}/{number}"
+        spark.catalog.refreshTable(table)
+        if spark.table(table).filter(F.col("request_key") == key).isEmpty():
+            feedback.save(spark, checked.filter("status = 200").select(*schemas.RATING_COLUMNS, F.lit(key).alias("request_key")), table)
         checked.filter("status <> 200").select(F.to_json(F.struct("body", "status", "detail")).alias("value")).write.mode("overwrite").text(f"{dead_letters}/batch={number}")
         read.unpersist()
 
@@ -62,6 +66,35 @@ class Debounce(StatefulProcessor):
         pass
 
 
+class Newest(StatefulProcessor):
+    """Keeps the newest request of a key that has been asked; lets only its answer through, and only once it is there.
+
+    Rows are requests (answer null) and answers; an answer to any but the newest request is stale.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", "request long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        newest, answers = self.newest.get()[0] if self.newest.exists() else -1, []
+        for part in rows:
+            newest = max(newest, int(part["request"].max()))
+            answers.append(part[part["answer"].notna()])
+        self.newest.update((newest,))
+        fresh = pd.concat(answers)
+        fresh = fresh[(fresh["request"] == newest) & (fresh["answer"].str.strip() != "")]
+        yield fresh[["key", "request", "answer"]]
+
+    def close(self) -> None:
+        pass
+
+
+def without_stale(rows: DataFrame) -> DataFrame:
+    """A stream (key string, request long, answer string) of requests and answers, reduced to the answers that are
+    not empty and whose request was still the newest of its key when they came."""
+    return rows.groupBy("key").transformWithStateInPandas(Newest(), "key string, request long, answer string", "Append", "None")
+
+
 def debounced(requests: DataFrame, wait_ms: int = 500) -> DataFrame:
     """A stream (key string, request long, payload string) reduced to the last request of each burst."""
     return requests.groupBy("key").transformWithStateInPandas(Debounce(wait_ms), "key string, request long, payload string", "Append", "ProcessingTime")

@@ -39,6 +39,17 @@ def test_tokens(spark):
     assert [x[0] for x in ids.orderBy("i").select(count(F.col("t"))).collect()] == [[1, 1, 1], None]
 
 
+def test_special_tokens_and_collation(spark):
+    r = spark.range(1).select(tokens.special_tokens(F.lit("<a>x y<b>"), ("<a>", "<b>"), 1 << 24).alias("ids"), tokens.special_tokens(F.lit(None).cast("string"), ("<a>",), 9).alias("none")).first()
+    plain = spark.range(1).select(tokens.hash_ids(tokens.whitespace_tokens(F.lit("x y")))).first()[0]
+    assert r.ids == [1 << 24, *plain, (1 << 24) + 1] and r.none == []
+    df = spark.createDataFrame([(0, [1, 9]), (0, [2, 3, 4]), (1, [])], "b int, ids array<int>")
+    got = {tuple(r.ids): (r.input_ids, r.attention_mask, r.labels) for r in tokens.collate(df, "b", "ids", 9).collect()}
+    assert got[1, 9] == ([1, 9, 9], [1, 1, 0], [1, -100, -100]) and got[()] == ([], [], []) and got[2, 3, 4][1] == [1, 1, 1]
+    r = spark.range(1).select(tokens.pad_token(F.lit(None).cast("int"), F.lit(3)), tokens.pad_token(F.lit(0), F.lit(3)), tokens.id_to_token(F.array(F.lit(1), F.lit(2)), F.create_map(F.lit(1), F.lit("a")))).first()
+    assert tuple(r) == (3, 0, ["a", None])
+
+
 def test_models(spark):
     df = spark.createDataFrame([("p", [1, 2, 3], [-100, 2, 3]), ("q", [1], [-100])], "p string, ids array<int>, labels array<int>")
     losses = models.token_losses_udf(lambda: lambda ids: [float(i) for i in ids])

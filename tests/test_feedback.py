@@ -1,6 +1,8 @@
 import json
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sparkloom import config, schemas
@@ -40,7 +42,7 @@ def test_table(spark):
     spark.sql("insert into old_rating values (7, 'p', 's', 1)")
     for _ in range(2):
         feedback.init_table(spark, "old_rating")
-    assert [c.name for c in spark.catalog.listColumns("old_rating")][4:] == ["suffix", "suggestion_type", "accepted", "timestamp"]
+    assert [c.name for c in spark.catalog.listColumns("old_rating")][4:] == ["suffix", "suggestion_type", "accepted", "timestamp", "request_key"]
     new = spark.createDataFrame([("p", "x", "s", None, "realtime", False, "2026-01-01T00:00:00.123Z"), ("p", "x", "s", 1, "realtime", True, "")], "prefix string, suffix string, suggestion string, rating int, suggestion_type string, accepted boolean, timestamp string")
     spark.sql("drop table if exists fresh_rating")
     feedback.init_table(spark, "fresh_rating")
@@ -64,10 +66,85 @@ def test_large_batches_get_consecutive_ids(spark):
         assert got.count() == n and got.filter(F.col("id") - done - 1 != F.col("prefix").cast("long")).isEmpty()
 
 
+def test_request_types(spark):
+    head = '{"prefix":"p","suggestion":"s",'
+    bad = ['"rating":"x"}', '"rating":1.5}', '"rating":[1]}', '"accepted":"maybe"}', '"accepted":2}', '"suffix":null}', '"suffix":5}', '"accepted":null}']
+    good = ['"rating":null}', '"rating":"1"}', '"rating":1.0}', '"accepted":"no"}', '"accepted":0}', '"other":[1]}', '"rating":99999999999}']
+    record, status = feedback.parse_requests(F.col("b"), schemas.RATING_REQUEST, schemas.RATING_DEFAULTS, schemas.RATING_REQUIRED)
+    rows = spark.createDataFrame([(i, head + t) for i, t in enumerate(bad + good)] + [(90, "[]"), (91, "5"), (92, None), (93, "{")], "i int, b string")
+    got = rows.select("i", record.alias("r"), status.alias("s")).orderBy("i").collect()
+    assert [r.s for r in got] == [422] * len(bad) + [200] * len(good) + [422] * 4
+    assert [(r.r.rating, r.r.accepted) for r in got if r.s == 200] == [(None, True), (1, True), (1, True), (None, False), (None, False), (None, True), (2147483647, True)]
+    r = spark.range(1).select(feedback.response(F.lit(200), F.lit(None).cast("string"), feedback.generated(F.lit("nop"))).alias("a"), feedback.response(F.lit(400), F.lit("no"), feedback.saved()).alias("b")).first()
+    assert (r.a, r.b) == ('{"generated_code":"nop"}', '{"detail":"no"}')
+
+
+def test_save_refuses_what_the_table_may_not_hold(spark):
+    spark.sql("drop table if exists strict_rating")
+    feedback.init_table(spark, "strict_rating")
+    bad = spark.createDataFrame([("p", "x", "s", 3, "realtime", True, "")], "prefix string, suffix string, suggestion string, rating int, suggestion_type string, accepted boolean, timestamp string")
+    with pytest.raises(Exception, match="Rating must be 0 or 1"):
+        feedback.save(spark, bad, "strict_rating")
+    assert feedback.find_all(spark, "strict_rating").count() == 0
+
+
+def test_drain(spark):
+    for name in ("drained", "drained_queue"):
+        spark.sql(f"drop table if exists {name}")
+    feedback.init_table(spark, "drained")
+    feedback.init_queue(spark, "drained_queue")
+    assert feedback.drain(spark, "drained_queue", "drained") == {}
+    kind = "request_key string, prefix string, suffix string, suggestion string, rating int, suggestion_type string, accepted boolean, timestamp string"
+    row = lambda k, s="s", r=1: (k, "p", "", s, r, "realtime", True, "2026-01-01T00:00:00Z")
+    rows = spark.createDataFrame([row("a"), row("a"), row("b", ""), row("c"), row(None), row(None)], kind)
+    feedback.enqueue(spark, rows, "drained_queue")
+    assert feedback.drain(spark, "drained_queue", "drained") == {"delivered": 4, "duplicate": 1, "parked": 1}
+    feedback.enqueue(spark, rows.filter("request_key in ('a', 'c')"), "drained_queue")
+    assert feedback.drain(spark, "drained_queue", "drained") == {"duplicate": 3, "parked": 1}
+    assert [r.request_key for r in spark.table("drained_queue").collect()] == ["b"]
+    assert sorted(str(r.request_key) for r in spark.table("drained").collect()) == ["None", "None", "a", "c"]
+
+
+def test_stream_batches_are_stored_once(spark, tmp_path):
+    """A batch that is repeated, as after a failure before its commit, stores nothing twice."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text('{"prefix":"p","suggestion":"s"}\n{"prefix":"p","suggestion":"t","rating":"x"}')
+    spark.sql("drop table if exists once_rating")
+    feedback.init_table(spark, "once_rating")
+
+    def run():
+        streams.ingest(spark, readers.request_stream(spark, str(tmp_path / "in")), "once_rating", str(tmp_path / "dead"), str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+
+    run()
+    for f in (tmp_path / "cp/commits").glob("*0*"):
+        f.unlink()
+    run()
+    assert feedback.find_all(spark, "once_rating").count() == 1
+    assert spark.read.json(str(tmp_path / "dead")).count() == 1
+
+
+def test_stale_answers_are_dropped(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    kind = "key string, request long, answer string"
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(kind).json(str(tmp_path / "in"))
+    try:
+        for n, lines in enumerate((
+            ['{"key":"a","request":1}', '{"key":"b","request":7}'],
+            ['{"key":"a","request":2}', '{"key":"a","request":1,"answer":"old"}', '{"key":"b","request":7,"answer":"  "}'],
+            ['{"key":"a","request":2,"answer":"new"}', '{"key":"b","request":6,"answer":"late"}'],
+        )):
+            (tmp_path / f"in/{n}.json").write_text("\n".join(lines))
+            streams.without_stale(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+        assert [tuple(r) for r in spark.read.schema(kind).parquet(str(tmp_path / "out")).collect()] == [("a", 2, "new")]
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
 def test_queue(spark):
     rows = spark.createDataFrame([(1, "", 1, "realtime"), (2, "s", 1, "realtime"), (3, "s", None, "realtime")], "k int, suggestion string, rating int, suggestion_type string")
-    got = feedback.flush(rows, spark.createDataFrame([(3,), (3,)], "k int"), "k").collect()
-    assert sorted((r.k, r.state) for r in got) == [(1, "parked"), (2, "delivered"), (3, "duplicate")]
+    got = feedback.flush(rows.union(rows.filter("k = 2")), spark.createDataFrame([(3,), (3,)], "k int"), "k").collect()
+    assert sorted((r.k, r.state) for r in got) == [(1, "parked"), (2, "delivered"), (2, "duplicate"), (3, "duplicate")]
 
 
 def test_stream_ingest(spark, tmp_path):
@@ -124,10 +201,19 @@ def test_results(spark, tmp_path):
         raise AssertionError("a missing field must fail")
     except Exception as e:
         assert "no text" in str(e)
+    readers.write_json(both, str(tmp_path / "rows"))
+    assert sorted(tuple(r) for r in spark.read.schema("v string, x int").json(str(tmp_path / "rows")).collect()) == [("A", 1), ("B", 3), ("C", 4)]
+    assert readers.line_count(spark, str(tmp_path / "j.json"))[0] == 2
+    with pytest.raises(Exception, match="no result"):
+        results.pick(both, "v", ["C", "Z"]).collect()
+    plan = results.pick(both, "v", ["C"])._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan.rpartition("Physical Plan")[2]
+    assert [r[0] for r in spark.sql("select 1.23456D as x union all select null").select(results.report_line("loss", F.col("x"))).collect()] == ["loss: 1.2346", "loss: none"]
     made, mb = readers.create_archive(str(tmp_path), str(tmp_path / "z.zip"))
     assert made.exists() and readers.extract_zip(str(made), str(tmp_path / "out")).exists()
     assert spark.range(1).select(*results.health("v1", "b", "a")).first().status == "running"
-    assert config.load("MODEL_VERSION=v2\nother=1\n# x=y\n").model_version == "v2"
+    got = config.load("MAX_INPUT_LENGTH=9\nother=1\n# x=y\nFIM_MIDDLE='<m>'\n")
+    assert (got.max_input_length, got.markers) == (9, ("<fim_prefix>", "<fim_suffix>", "<m>"))
 
 
 def test_debounce_stream(spark, tmp_path):
