@@ -1,5 +1,6 @@
 """Language ID by word-first backoff to character n-grams."""
 
+import array
 import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -25,60 +26,41 @@ class Counts:
 
     def __init__(self, rows: Iterable[tuple[str, int, str]] = (), langs: int = 0) -> None:
         """Rows of a key, its kind, and its counts as text: place of the language, `:` and count, with `,` between."""
-        self.keys: dict[str, int] = {}
+        self.keys: list[str] = []
+        own, times = array.array("i"), array.array("q")
         at: dict[tuple[int, str], int] = {}
-        times: list[int] = []
         for key, kind, counts in rows:
-            row = self.keys[key] = at.setdefault((kind, counts), len(at))
+            row = at.setdefault((kind, counts), len(at))
+            self.keys.append(key)
+            own.append(row)
             if row == len(times):
                 times.append(0)
             times[row] += 1
-        self.times, self.kinds = np.array(times, np.float64), np.array([k for k, _ in at], np.int64)
+        self.own, self.times, self.kinds = np.array(own, np.int32), np.array(times, np.float64), np.array([k for k, _ in at], np.int64)
         self.rows = np.zeros((len(at), langs))
         for (_, counts), row in at.items():
             for place, n in (x.split(":") for x in counts.split(",")):
                 self.rows[row, int(place)] = int(n)
 
 
-class Rows(dict):
-    """Words with their row in a table of scores. Words that are not there are scored when first asked for; beyond
-    so many of them their rows are used anew."""
-
-    def __init__(self, words: dict[str, int], scores: np.ndarray, unknown: Callable[[str], np.ndarray], cache: int) -> None:
-        super().__init__(words)
-        self.table, self.first, self.unknown = np.concatenate([scores, np.zeros((cache, scores.shape[1]))]), len(scores), unknown
-        self.added: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        row = self[word] = self.first + len(self.added)
-        self.added.append(word)
-        self.table[row] = self.unknown(word)
-        return row
-
-    def make_room(self, words: int) -> None:
-        """Forgets the added words if there may be no room for so many more."""
-        if len(self.added) + words > len(self.table) - self.first:
-            for word in self.added:
-                del self[word]
-            self.added.clear()
-
-
 class Model:
     """Log frequencies by language of words, and of n-grams for words that are not known."""
 
     def __init__(self, langs: list[str], documents: list[int], words: "Counts", grams: "Counts", cache: int = 50_000) -> None:
-        self.langs, self.cache = langs, cache
+        self.langs = langs
+        #: Words that are looked up at once, and unknown ones that are remembered at most.
+        self.cache = max(1, min(cache, 2_000_000 // max(1, len(langs))))
         self.prior = int(np.argmax(documents)) if langs else 0
-        self.words, self.scores = words.keys, self._log(words.rows, words.times)
-        self.grams = grams.keys
+        self.words, self.scores = dict(zip(words.keys, words.own.tolist(), strict=True)), self._log(words.rows, words.times)
+        self.grams = np.array(grams.keys, f"<U{LONGEST}")  # sorted, 16 bytes each
+        order = np.argsort(self.grams)
+        self.grams, self.gram_rows = self.grams[order], grams.own[order]
         self.gram_scores = np.zeros_like(grams.rows)
         for n in range(1, LONGEST + 1):  # frequencies among n-grams of the same length
             at = grams.kinds == n
             self.gram_scores[at] = self._log(grams.rows[at], grams.times[at])
-        self.rows: Rows | None = None
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"rows": None}
+        self.added: list[str] = []
+        self.table: np.ndarray | None = None
 
     @staticmethod
     def _log(counts: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -87,20 +69,26 @@ class Model:
         logs = np.log((counts + 0.5) / ((counts * times[:, None]).sum(axis=0) + 0.5 * times.sum()))
         return logs - logs.max(axis=1, keepdims=True)
 
-    def unknown(self, word: str) -> np.ndarray:
-        """Scores of an unseen word: its known n-grams of the longest length that has any."""
-        padded = f" {word} "
+    def unknown(self, words: list[str]) -> np.ndarray:
+        """Scores of unseen words: of each, the mean over its known n-grams of the longest length that has any."""
+        out, left = np.zeros((len(words), len(self.langs))), np.arange(len(words))
         for n in range(LONGEST, 0, -1):
-            text = padded if n > 1 else word
-            rows = [r for r in map(self.grams.get, (text[i : i + n] for i in range(len(text) - n + 1))) if r is not None]
-            if rows:
-                return self.gram_scores[rows].mean(axis=0)
-        return np.zeros(len(self.langs))
+            if not len(left) or not len(self.grams):
+                break
+            texts = [f" {words[i]} " if n > 1 else words[i] for i in left.tolist()]
+            of = np.repeat(np.arange(len(texts)), [max(0, len(t) - n + 1) for t in texts])
+            asked = np.array([t[i : i + n] for t in texts for i in range(len(t) - n + 1)], self.grams.dtype)
+            at = np.minimum(np.searchsorted(self.grams, asked), len(self.grams) - 1)
+            known = self.grams[at] == asked
+            of, rows = of[known], self.gram_rows[at[known]]
+            times = np.bincount(of, minlength=len(texts))
+            for k in range(len(self.langs)):
+                out[left, k] += np.bincount(of, weights=self.gram_scores[rows, k], minlength=len(texts)) / np.maximum(times, 1)
+            left = left[times == 0]
+        return out
 
     def totals(self, texts: list[list[str]]) -> np.ndarray:
-        """The sum of the scores of each text's words; every text has some. At most `cache` words are looked up at once."""
-        if self.rows is None:
-            self.rows = Rows(self.words, self.scores, self.unknown, self.cache)
+        """The sum of the scores of each text's words; every text has some."""
         total, at = np.zeros((len(texts), len(self.langs))), 0
         while at < len(texts):
             to, n = at + 1, len(texts[at])
@@ -117,8 +105,21 @@ class Model:
         return total
 
     def _looked_up(self, words: list[str]) -> np.ndarray:
-        self.rows.make_room(len(words))
-        return self.rows.table[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
+        """Scores of at most `cache` words. Unknown words get rows behind the known ones' until their room is full."""
+        if self.table is None:
+            self.table = np.concatenate([self.scores, np.zeros((self.cache, len(self.langs)))])
+        new = sorted(set(words).difference(self.words))
+        if len(self.added) + len(new) > self.cache:
+            for word in self.added:
+                del self.words[word]
+            self.added.clear()
+            new = sorted(set(words).difference(self.words))
+        if new:
+            first = len(self.scores) + len(self.added)
+            self.table[first : first + len(new)] = self.unknown(new)
+            self.words.update(zip(new, range(first, first + len(new)), strict=True))
+            self.added += new
+        return self.table[np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score of each text."""

@@ -362,14 +362,58 @@ def test_language_id_keeps_all_words_and_ngrams(spark):
             for n in range(1, 5):
                 t = f" {w} " if n > 1 else w
                 grams[at].update(t[i : i + n] for i in range(len(t) - n + 1))
-    assert set(model.words) == {*words, *(w + "é" for w in words)} and set(model.grams) == {*grams[0], *grams[1]}
+    known = dict(zip(model.grams.tolist(), model.gram_rows.tolist(), strict=True))
+    assert set(model.words) == {*words, *(w + "é" for w in words)} and set(known) == {*grams[0], *grams[1]}
     v, total = len(model.words), np.array([len(words), len(words) + 2])
     want = np.log((np.array([1, 2]) + 0.5) / (total + 0.5 * v))
     assert np.allclose(model.scores[model.words["aaaa"]], want - want.max())
     for n in range(1, 5):
-        own = {g: np.array([grams[0][g], grams[1][g]]) for g in model.grams if len(g) == n}
+        own = {g: np.array([grams[0][g], grams[1][g]]) for g in known if len(g) == n}
         logs = np.log((np.array(list(own.values())) + 0.5) / (np.sum(list(own.values()), axis=0) + 0.5 * len(own)))
-        assert np.allclose([model.gram_scores[model.grams[g]] for g in own], logs - logs.max(axis=1, keepdims=True))
+        assert np.allclose([model.gram_scores[known[g]] for g in own], logs - logs.max(axis=1, keepdims=True))
+
+
+def test_language_id_as_a_plain_backoff_scorer(spark):
+    """Every prediction, against loops over words and n-grams; more words than are looked up at once."""
+    letters = {"x": "abcde", "y": "cdefg", "z": "defgh"}
+    word = lambda a: "".join(rng.choice(list(letters[a]), rng.integers(1, 7)))
+    rows = [(i, " ".join(word("xyz"[i % 3]) for _ in range(40)), "xyz"[i % 3]) for i in range(30)]
+    model = langid.fit(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts, grams = {a: Counter() for a in "xyz"}, {(a, n): Counter() for a in "xyz" for n in range(1, 5)}
+    for _, t, a in rows:
+        for w in t.split():
+            counts[a][w] += 1
+            for n in range(1, 5):
+                p = f" {w} " if n > 1 else w
+                grams[a, n].update(p[i : i + n] for i in range(len(p) - n + 1))
+    logs = lambda table, key: (lambda v: np.array([math.log((t[key] + 0.5) / (sum(t.values()) + 0.5 * v)) for t in table]))(len(set().union(*table)))
+
+    def plain(t):
+        total = np.zeros(3)
+        for w in t.split():
+            if any(counts[a][w] for a in "xyz"):
+                total += logs([counts[a] for a in "xyz"], w)
+                continue
+            for n in range(4, 0, -1):
+                p = f" {w} " if n > 1 else w
+                table = [grams[a, n] for a in "xyz"]
+                found = [g for g in (p[i : i + n] for i in range(len(p) - n + 1)) if any(t[g] for t in table)]
+                if found:
+                    own = [logs(table, g) for g in found]
+                    total += np.mean([o - o.max() for o in own], axis=0)
+                    break
+        odds = np.exp(total - total.max())
+        return "xyz"[int(odds.argmax())], odds.max() / odds.sum()
+
+    ask = [" ".join(word("xyz"[rng.integers(3)]) for _ in range(rng.integers(1, 60))) for _ in range(60)] + ["hhhhabc aceg", "qqq", rows[0][1]]
+    for cache in (50_000, 12):
+        model.cache, model.table = cache, None
+        for w in model.added:
+            del model.words[w]
+        model.added = []
+        for t, (lang, share) in zip(ask, model.predict(ask), strict=True):
+            want = plain(t)
+            assert abs(share - want[1]) < 1e-9 and (lang == want[0] or abs(want[1] - 0.5) < 1e-9 or t == "qqq")
 
 
 def test_toxicity(spark, docs):
