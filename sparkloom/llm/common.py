@@ -1,5 +1,6 @@
 """What several operators share: the shared folder, fold numbers, joins with hot keys, components."""
 
+import contextlib
 import ctypes
 import gc
 import tempfile
@@ -9,6 +10,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL: list[str] = []
 _WRITTEN: list[str] = []
@@ -61,6 +63,18 @@ def discard(spark: SparkSession, since: int, until: int | None = None) -> None:
     del _WRITTEN[since:until]
 
 
+@contextlib.contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans of the same files have the same partitions within, however many executors there are from time to time."""
+    name = "spark.sql.files.minPartitionNum"
+    given = spark.conf.get(name, None)
+    spark.conf.set(name, given or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, given) if given else spark.conf.unset(name)
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it again: lineage ends here and lost executors lose nothing."""
     path = scratch(spark, name)
@@ -68,6 +82,13 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_number(docs: DataFrame, column: str) -> Column:
+    """An integer id as a long; ids of other types are an error."""
+    if not isinstance(docs.schema[column].dataType, T.IntegralType):
+        raise ValueError(f"{column} must be an integer, not {docs.schema[column].dataType.simpleString()}")
+    return F.col(column).cast("long")
+
+
 def key_text(column: str) -> Column:
     """A key as text; null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -2,84 +2,41 @@
 
 import array
 import base64
-import bisect
 import hashlib
 import json
 import struct
-import sys
-import types
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, scratch, small_batches
+from .common import in_slices, same_splits, scratch, small_batches, whole_number
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the published pattern that splits text before byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces of text whose tokens a worker remembers at most.
-CACHE = 100_000
 #: doc_id, part, number of tokens, whether there is a doc_id; then the tokens, and a line feed that ends the record.
 HEADER = "<qIIB3x"
 HEADER_BYTES = struct.calcsize(HEADER)
 
 
-class Pieces:
-    """Tokens of texts, put together from those of the pieces between single spaces."""
+class Tokenizer:
+    """A byte-level tokenizer whose tokens are 16-bit numbers; `end` stands after each text."""
 
     def __init__(self, vocabulary: bytes) -> None:
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.end = len(ranks)
-        self.encoding = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.after_space = Remembered(self.encoding)
-
-    def whole(self, text: str) -> bytes:
-        return array.array("H", self.encoding.encode_ordinary(text)).tobytes()
+        self.encoding = tiktoken.Encoding("sparkloom", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str | None) -> bytes:
-        """Tokens as 16-bit numbers. The pattern never joins across a single space, so pieces can be looked up;
-        a text with other white space at the end of a piece is encoded as a whole."""
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        if not rest or not first or first[-1].isspace():
-            return self.whole(text)
-        try:
-            return b"".join([self.whole(first), *map(self.after_space.__getitem__, rest)])
-        except KeyError:
-            return self.whole(text)
-
-
-class Remembered(dict):
-    """Tokens of a space and a piece; a piece that needs its neighbours raises KeyError."""
-
-    def __init__(self, encoding: object) -> None:
-        super().__init__()
-        self.encoding = encoding
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise KeyError(piece)
-        if len(self) >= CACHE:
-            self.clear()
-        self[piece] = out = array.array("H", self.encoding.encode_ordinary(" " + piece)).tobytes()
-        return out
-
-
-def tokenizer(vocabulary: bytes) -> Pieces:
-    """One for each worker process, kept between tasks."""
-    kept = sys.modules.setdefault("_sparkloom_kept", types.ModuleType("_sparkloom_kept"))
-    key = zlib.crc32(vocabulary)
-    if key not in kept.__dict__:
-        kept.__dict__[key] = Pieces(vocabulary)
-    return kept.__dict__[key]
+        return array.array("H", [*(self.encoding.encode_ordinary(text) if text else ()), self.end]).tobytes()
 
 
 class Feistel:
@@ -106,46 +63,60 @@ class Feistel:
         return out.astype(np.int64)
 
 
-def _place(batches: Iterable[pa.RecordBatch], vocabulary: bytes, length: int, starts: dict[int, tuple[int, int]], order: Feistel, per_shard: int) -> Iterator[pa.RecordBatch]:
-    """Every sequence with its place in the order; tokens are compressed for the shuffle."""
-    pieces = tokenizer(vocabulary)
-    end = array.array("H", [pieces.end]).tobytes()
-    begin, room = starts.get(TaskContext.get().partitionId(), (0, 0))
-    at = begin
+def _count(batches: Iterable[pa.RecordBatch], vocabulary: bytes, length: int) -> Iterator[pa.RecordBatch]:
+    """The number of sequences of the task's texts."""
+    tokenizer, n = Tokenizer(vocabulary), 0
     for batch in in_slices(batches):
+        n += sum(-(-len(tokenizer.encode(t)) // (2 * length)) for t in batch.column(1).to_pylist())
+    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], names=["task", "n"])
+
+
+def _place(batches: Iterable[pa.RecordBatch], vocabulary: bytes, length: int, ranges: dict[int, tuple[int, int]], order: Feistel, per_shard: int) -> Iterator[pa.RecordBatch]:
+    """Every sequence with its slot; tokens are compressed for the shuffle."""
+    tokenizer, packer = Tokenizer(vocabulary), zstandard.ZstdCompressor(level=6)
+    at, end = ranges.get(TaskContext.get().partitionId(), (0, 0))
+    for batch in in_slices(batches, 250):
         rows: list[bytes] = []
-        index: list[int] = []
-        for key, text, most in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            tokens = pieces.encode(text) + end
+        for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            tokens = tokenizer.encode(text)
             for part, low in enumerate(range(0, len(tokens), 2 * length)):
                 own = tokens[low : low + 2 * length]
-                rows.append(struct.pack(HEADER, key or 0, part, len(own) // 2, key is not None) + zlib.compress(own, 1))
-                index.append(at + part)
-            at += most
-        places = order.slots(np.array(index, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array((places // per_shard).astype(np.int32)), pa.array(places), pa.array(rows, pa.binary())], names=["shard", "place", "record"])
-    if at != begin + room:
+                rows.append(struct.pack(HEADER, key or 0, part, len(own) // 2, key is not None) + packer.compress(own))
+        slots = order.slots(np.arange(at, at + len(rows)))
+        at += len(rows)
+        yield pa.RecordBatch.from_arrays([pa.array((slots // per_shard).astype(np.int32)), pa.array(slots), pa.array(rows, pa.binary())], names=["shard", "slot", "record"])
+    if at != end:
         raise ValueError("the input gave other rows than when it was counted; write it to a table first")
 
 
 def _expand(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    unpacker = zstandard.ZstdDecompressor()
     for batch in in_slices(batches):
-        rows = [r[:HEADER_BYTES] + zlib.decompress(r[HEADER_BYTES:]).ljust(2 * length, b"\xff") for r in batch.column(0).to_pylist()]
+        rows = [r[:HEADER_BYTES] + unpacker.decompress(r[HEADER_BYTES:]).ljust(2 * length, b"\xff") for r in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["record"])
 
 
-def _records(batches: Iterable[pa.RecordBatch], length: int, starts: list[int], with_tokens: bool) -> Iterator[pa.RecordBatch]:
-    stride, first = HEADER_BYTES + 2 * length + 1, np.array(starts, np.int64)
-    layout = np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("n", "<u4"), ("has", "u1"), ("_", "u1", 3), ("tokens", "u1", 2 * length), ("end", "u1")])
+def _layout(length: int) -> np.dtype:
+    return np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("n", "<u4"), ("has", "u1"), ("_", "u1", 3), ("tokens", "u1", 2 * length), ("end", "u1")])
+
+
+def _rows(records: bytes, length: int) -> np.ndarray:
+    rows = np.frombuffer(records, _layout(length))
+    if (rows["end"] != 10).any():
+        raise ValueError("a shard has a record without its end")
+    return rows
+
+
+def _records(batches: Iterable[pa.RecordBatch], length: int, per_shard: int, with_tokens: bool) -> Iterator[pa.RecordBatch]:
+    stride = _layout(length).itemsize
     for batch in in_slices(batches, 2000):
         shard, at, records = batch.column(0), batch.column(1).to_numpy().astype(np.int64), batch.column(2).to_pylist()
         if any(len(r) != stride for r in records):
             raise ValueError("a shard is not a whole number of records")
-        rows = np.frombuffer(b"".join(records), layout)
-        if (rows["end"] != 10).any():
-            raise ValueError("a shard has a record without its end")
+        rows = _rows(b"".join(records), length)
         own = [t[: 2 * n].tobytes() for t, n in zip(rows["tokens"], rows["n"].tolist(), strict=True)]
-        columns = [pa.array(rows["doc_id"], mask=rows["has"] == 0), pa.array(rows["part"].astype(np.int64)), pa.array(first[shard.to_numpy()] + at), shard, pa.array(at * stride), pa.array(rows["n"].astype(np.int64)), pa.array([zlib.crc32(t) for t in own], pa.int64())]
+        slots = shard.to_numpy().astype(np.int64) * per_shard + at
+        columns = [pa.array(rows["doc_id"], mask=rows["has"] == 0), pa.array(rows["part"].astype(np.int64)), pa.array(slots), shard, pa.array(at * stride), pa.array(rows["n"].astype(np.int64)), pa.array([zlib.crc32(t) for t in own], pa.int64())]
         names = ["doc_id", "part", "slot", "shard", "byte_offset", "n_tokens", "tokens_crc32"]
         yield pa.RecordBatch.from_arrays([*columns, *([pa.array([np.frombuffer(t, np.uint16) for t in own], pa.list_(pa.int32()))] if with_tokens else [])], names=names + ["tokens"] * with_tokens)
 
@@ -158,71 +129,97 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, length: int = 512, shard_bytes: int = 40_000_000, key: int = 0, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Writes all token sequences of docs to path/shards in training order; returns the manifest, also written.
 
-    A document's tokens and an end token are cut into sequences of `length`, the last one padded. A token has a
-    byte at least, so the bytes of a text bound its sequences, and Spark's sums of these bounds give every
-    document a range of numbers of its own without tokenizing twice. A keyed permutation of all n numbers gives
-    each sequence its place; equal ranges of places are the shards, sorted by place, and numbers that no sequence
-    has leave no gap in them. So the order is random and needs no sort of the corpus, and slots, counted over the
-    shards' records, are dense. Each task writes one shard through Spark's file writer, which commits whole files
-    only and reaches any file system that Spark does. Slot s is record s - starts[k] of shard k, the last whose
-    start in the manifest is not above s: a reader resumes at that offset.
-
-    The vocabulary is read on the driver and broadcast; tokens are 16-bit numbers. Null texts are empty: one
-    sequence of the end token. Null ids are marked in the record. Repeated rows are written once each. An empty
-    table gives a manifest without shards. Other columns are not read. The docs must give the same rows in the
-    same partitions in both passes, as tables do; else an error is raised.
+    A document's tokens and an end token are cut into sequences of `length`, the last one padded. A first pass counts
+    the sequences of each partition, so that all n have numbers; a keyed permutation of range(n) gives each its
+    global slot in the second. Slot s is record s % records of shard s // records: equal ranges of slots are the
+    shards, sorted by slot, and no sort of the corpus is needed. Each task writes one shard through Spark's file
+    writer, which commits whole files only and reaches any file system that Spark does.
+
+    Texts are tokenized twice, which costs less than to keep all tokens in between. The docs must give the same rows
+    in the same partitions in both passes, as tables do (their splits are held); else an error is raised. The
+    vocabulary is read on the driver and broadcast; tokens are 16-bit numbers. Null texts are empty: one sequence of
+    the end token. Null ids are marked in the record; ids that are no integers raise ValueError. Repeated rows are
+    written once each. An empty table gives a manifest without shards. Other columns are not read.
     """
     small_batches(spark)
     with open(vocabulary, "rb") as f:
         words = spark.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    stride = HEADER_BYTES + 2 * length + 1
+    rows = docs.select(whole_number(docs, id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    stride = _layout(length).itemsize
     per_shard = max(1, shard_bytes // stride)
-    rows = rows.withColumn("_most", F.ceil((F.coalesce(F.octet_length("_text"), F.lit(0)) + 1) / length).cast("long"))
-    ranges, n = {}, 0
-    for pid, k in sorted(tuple(r) for r in rows.groupBy(F.spark_partition_id()).agg(F.sum("_most")).collect()):
-        ranges[pid] = (n, k)
-        n += k
-    manifest = {"sequences": 0, "length": length, "stride": stride, "starts": [], "key": key, "vocabulary": vocabulary.rpartition("/")[2]}
-    if n:
-        order = Feistel(n, key)
-        # Bounds are about 2.5 times the sequences: shards have shard_bytes at most, mostly less.
-        placed = rows.mapInArrow(lambda it: _place(it, words.value, length, ranges, order, per_shard), "shard int, place long, record binary")
-        shards = -(-n // per_shard)
-        dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("place").select("record")
-        dealt.mapInArrow(lambda it: _expand(it, length), "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/shards")
-        for k, size in sorted(tuple(r) for r in _files(spark, path).select("shard", "length").collect()):
-            manifest["starts"] += [manifest["sequences"]] * (k + 1 - len(manifest["starts"]))
-            manifest["sequences"] += size // stride
+    with same_splits(spark):
+        ranges, n = {}, 0
+        for task, k in sorted(tuple(r) for r in rows.mapInArrow(lambda it: _count(it, words.value, length), "task int, n long").collect()):
+            ranges[task] = (n, n + k)
+            n += k
+        if n:
+            order = Feistel(n, key)
+            placed = rows.mapInArrow(lambda it: _place(it, words.value, length, ranges, order, per_shard), "shard int, slot long, record binary")
+            dealt = placed.repartitionById(-(-n // per_shard), F.col("shard")).sortWithinPartitions("slot").select("record")
+            dealt.mapInArrow(lambda it: _expand(it, length), "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/shards")
+    words.unpersist()
+    manifest = {"sequences": n, "length": length, "stride": stride, "records": per_shard, "key": key, "vocabulary": vocabulary.rpartition("/")[2]}
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{path}/manifest")
     return manifest
 
 
+def _manifest(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/manifest").first()[0])
+
+
 def read_shards(spark: SparkSession, path: str, with_tokens: bool = False, first_slot: int = 0) -> DataFrame:
     """Records of the shards: doc_id, part, slot, shard, byte_offset, n_tokens, tokens_crc32, and tokens if asked for.
 
-    Shards before the one of first_slot are not opened. Every record's end is checked.
+    Shards before the one of first_slot are not opened; see resume for reading from an offset on. Every record's end
+    is checked, and every shard's length.
     """
     small_batches(spark)
-    manifest = json.loads(spark.read.text(f"{path}/manifest").first()[0])
+    manifest = _manifest(spark, path)
     schema = "doc_id long, part long, slot long, shard int, byte_offset long, n_tokens long, tokens_crc32 long" + ", tokens array<int>" * with_tokens
-    if not manifest["sequences"]:
+    n, length, stride, per_shard = (manifest[k] for k in ("sequences", "length", "stride", "records"))
+    if not n:
         return spark.createDataFrame([], schema)
-    length, stride, starts = manifest["length"], manifest["stride"], manifest["starts"]
-    files = _files(spark, path).filter((F.col("shard") >= bisect.bisect_right(starts, first_slot) - 1) & (F.col("length") > 0))
+    files = _files(spark, path).filter(F.col("shard") >= first_slot // per_shard)
+    own = F.least(F.lit(per_shard), n - F.col("shard").cast("long") * per_shard) * stride
+    content = F.when(F.col("length") == own, F.col("content")).otherwise(F.raise_error(F.lit("a shard has not its length")).cast("binary"))
     # Whole shards would meet in one Arrow batch; cut into records they come in batches of a few MB.
-    places = F.sequence(F.lit(0), (F.ceil(F.col("length") / stride) - 1).cast("int"))
+    places = F.sequence(F.lit(0), (F.col("length") / stride - 1).cast("int"))
     # The lambda's c is the shard itself; a column named inside the inner one would be copied for each record.
-    cut = F.transform(F.array("content"), lambda c: F.transform(places, lambda i: F.substring(c, i * stride + 1, F.lit(stride))))
+    cut = F.transform(F.array(content), lambda c: F.transform(places, lambda i: F.substring(c, i * stride + 1, F.lit(stride))))
     records = files.select("shard", F.posexplode(F.flatten(cut)).alias("at", "record"))
-    return records.mapInArrow(lambda it: _records(it, length, starts, with_tokens), schema).filter(F.col("slot") >= first_slot)
+    return records.mapInArrow(lambda it: _records(it, length, per_shard, with_tokens), schema).filter(F.col("slot") >= first_slot)
+
+
+def resume(spark: SparkSession, path: str, slot: int = 0, records: int = 1000) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+    """(slot, doc_id, part, tokens) one after the other from a slot on, as a training loop reads them.
+
+    The slot's shard is opened at its offset, and `records` records are in memory at once; what comes before is not
+    read. Files are reached through Spark's file systems.
+    """
+    manifest = _manifest(spark, path)
+    n, length, stride, per_shard = (manifest[k] for k in ("sequences", "length", "stride", "records"))
+    files = {r.shard: r.path for r in _files(spark, path).select("shard", "path").collect()} if slot < n else {}
+    jvm = spark._jvm
+    while slot < n:
+        place = jvm.org.apache.hadoop.fs.Path(files[slot // per_shard])
+        stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+        try:
+            stream.seek(slot % per_shard * stride)
+            end = min(n, (slot // per_shard + 1) * per_shard)
+            while slot < end:
+                rows = _rows(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, min(records, end - slot) * stride), length)
+                for row in rows:
+                    yield slot, int(row["doc_id"]) if row["has"] else None, int(row["part"]), np.frombuffer(row["tokens"].tobytes(), np.uint16)[: row["n"]]
+                    slot += 1
+        finally:
+            stream.close()
 
 
 def decode(tokens: list[int], vocabulary: str = VOCABULARY) -> str:
     """The text of a document's tokens, end tokens left out."""
     with open(vocabulary, "rb") as f:
-        pieces = tokenizer(f.read())
-    return pieces.encoding.decode([t for t in tokens if t != pieces.end])
+        tokenizer = Tokenizer(f.read())
+    return tokenizer.encoding.decode([t for t in tokens if t != tokenizer.end])
 
 
 def token_output(spark: SparkSession, docs: DataFrame, **options: object) -> DataFrame:
