@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hot_join, materialise, numbered
+from .common import hot_join, materialise, numbered, small_batches, whole_number
 
 WORD = r"[^\x20\x09-\x0D]+"
 MASK = (1 << 64) - 1
@@ -101,21 +101,23 @@ def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     leaving one open document each; 64 buckets' open documents meet in each task of the next level, until every
     source has one left, which goes to the nearer side. So a source misses its target by less than that document.
 
-    Buckets and chances depend on ids, sizes and the seed only: reruns agree, also after executors are lost. Null
+    Buckets and chances depend on ids, texts and the seed only: reruns agree, also after executors are lost. Null
     texts and texts without words have size 0 and take no part; a null source is a source of its own; repeated
-    rows are rounded separately; an empty table gives an empty one; other columns are not read.
+    rows are rounded separately; an empty table gives an empty one; other columns are not read. Ids are integers or
+    null; those of another type raise ValueError.
     """
+    small_batches(spark)
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
     row = F.lit(None).cast("string") if row_col is None else F.col(row_col).cast("string")
-    base = materialise(spark, docs.select(F.col(id_col).cast("long").alias("_id"), row.alias("_row"), F.col(source_col).cast("string").alias("source"), size.alias("size")), "sizes")
+    base = materialise(spark, docs.select(whole_number(docs, id_col).alias("_id"), row.alias("_row"), F.col(source_col).cast("string").alias("source"), size.alias("size"), F.xxhash64(text_col).alias("_text")), "sizes")
     n = base.count()
     sources = materialise(spark, source_targets(spark, base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))), "targets")
     # A null source needs a key that can be joined.
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    ranks = hot_join(base.select("_id", "_row", "size", key.alias("_key")), sources.select(key.alias("_key"), "_n", "_rank", "source_size", "target"), "_key", "_n", n)
+    ranks = hot_join(base.select("_id", "_row", "size", "_text", key.alias("_key")), sources.select(key.alias("_key"), "_n", "_rank", "source_size", "target"), "_key", "_n", n)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     buckets = max(1, -(-n // BUCKET))
-    rows = ranks.select("_id", "_row", "size", "_rank", F.pmod(F.xxhash64("_id", "_row", "size"), F.lit(buckets)).alias("_bucket"), (rate - F.floor(rate)).alias("_f"), F.xxhash64("_row", "_id", F.lit(seed)).alias("_h"), F.lit(True).alias("_open"))
+    rows = ranks.select("_id", "_row", "size", "_rank", F.pmod(F.xxhash64("_id", "size", "_text"), F.lit(buckets)).alias("_bucket"), (rate - F.floor(rate)).alias("_f"), F.xxhash64("_text", "_id", F.lit(seed)).alias("_h"), F.lit(True).alias("_open"))
     settled: list[DataFrame] = []
     schema = "_id long, _row string, size long, _rank long, _bucket long, _f double, _h long, _open boolean"
     while True:
