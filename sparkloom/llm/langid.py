@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, hash_bound, materialise, small_batches
+from .common import discard, give_back, hash_bound, mark, materialise, small_batches
 
 #: Labelled documents of each language that a model is fitted on (documented bound of the sample).
 SAMPLE = 8000
@@ -187,10 +187,13 @@ def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col:
     chosen = labelled.filter(F.col("_u") <= share)
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W\d_]+"), F.lit(0))).alias("word")
     counts = chosen.select("lang", word).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    begun = mark()
     counts = materialise(spark, counts, "words")
     words = _gathered(counts, "word", F.lit(0), langs)
     grams = counts.select("lang", "word", "n").mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return Model(langs, list(sizes.values()), words, _gathered(grams, "gram", F.length("gram"), langs))
+    model = Model(langs, list(sizes.values()), words, _gathered(grams, "gram", F.length("gram"), langs))
+    discard(spark, begun, begun + 1)
+    return model
 
 
 def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_bound, in_slices, materialise, small_batches
+from .common import discard, hash_bound, in_slices, mark, materialise, small_batches
 
 #: Labelled documents of each label that a model is fitted on (documented bound), bits of the hash, bytes of a stem.
 SAMPLE, BITS, STEM = 6000, 20, 4
@@ -103,6 +103,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     chosen = marked.filter(F.col("_u") <= F.when(F.col("label") == 1, bound.get(1, -1)).otherwise(bound.get(0, -1)))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).join(F.broadcast(chosen), "_id")
     rows = texts.select("_u", "label", "_text").mapInArrow(lambda it: _featured(it, bits), "_u long, label int, at binary")
+    begun = mark()
     rows = materialise(spark, rows.repartition(1).sortWithinPartitions("_u", "label", "at"), "features")
     seen = {0: 0, 1: 0} | dict(tuple(r) for r in rows.groupBy("label").count().collect())
     weight = {0: 1.0, 1: min(3.0, max(1.0, seen[0] / max(seen[1], 1)))}
@@ -115,6 +116,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
         model, at = Ftrl(bits), key[key >= 0]
         model.z[at], model.n[at] = z[key >= 0], n[key >= 0]
         model.bias_z, model.bias_n = float(z[key < 0][0]), float(n[key < 0][0])
+    discard(spark, begun, begun + 1)
     w = model.weights(slice(None))
     keys = np.flatnonzero(w)
     return Weights(keys, w[keys], model.bias(), bits)
