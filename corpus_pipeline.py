@@ -15,8 +15,9 @@ ROW, COPIES, COPY, FOUND = "__sparkloom_row", "__sparkloom_copies", "__sparkloom
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number by the place in the scan of a written table."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """docs, read from files, with a key of each row: its text's hash, its file and its place there, which are the same
+    whatever the scan is split into. Keys of rows with different texts have the same order in every run."""
+    return docs.withColumn(ROW, F.concat_ws("/", F.hex(F.xxhash64("text")), F.hex(F.xxhash64("_metadata.file_path")), "_metadata.row_index"))
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -38,15 +39,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id of each group of near duplicates: five-word shingles, similarity 0.8.
 
-    Null texts and texts without words are duplicates of nothing and stay; of repeated rows the first in the scan
-    stays; a null id is larger than all others; an empty table gives an empty one.
+    Null texts and texts without words are duplicates of nothing and stay; of rows with the same id
+    that of the smaller hash of its text stays; a null id is larger than all others; an empty table gives an empty one.
     """
-    rows = _numbered(docs)
+    rows, start = _numbered(docs), mark()
     found = neardup.near_dedup(spark, rows, 5, 80, keep=(ROW,)).filter("component is not null").select("component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW).alias("_at"))
     found = materialise(spark, found, "groups")
     first = found.groupBy("component").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
     dropped = found.join(first, "component").filter("_at <> _first").select(F.col("_at")[ROW].alias(ROW))
-    return _without(rows, materialise(spark, dropped, "dropped"))
+    dropped = materialise(spark, dropped, "dropped")
+    discard(spark, start, mark() - 1)
+    return _without(rows, dropped)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +69,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null texts and texts without words add nothing to a mix and go; a null source is a source of its own; repeated
     rows are rounded one by one; an empty table gives an empty one.
     """
-    rows = _numbered(docs)
-    taken = mixing.mix(spark, rows, row_col=ROW).filter("copies <> 1").select(F.col(ROW).cast("long").alias(ROW), F.col("copies").alias(COPIES))
+    rows, start = _numbered(docs), mark()
+    taken = mixing.mix(spark, rows, row_col=ROW).filter("copies <> 1").select(ROW, F.col("copies").alias(COPIES))
     taken = materialise(spark, taken, "copies")
+    discard(spark, start, mark() - 1)
     few = taken.count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(taken) if few else taken, ROW, "left")
     times = F.coalesce(F.col(COPIES), F.lit(1)).cast("int")
