@@ -4,9 +4,11 @@ import array
 import base64
 import hashlib
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,9 @@ from .common import in_slices, same_splits, scratch, small_batches, whole_number
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the published pattern that splits text before byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same without looking ahead, for texts in which no two white spaces are neighbours.
+LONE = PATTERN.replace(r"\s+(?!\S)|\s+", r"\s")
+NEIGHBOURS = re.compile(r"\s\s")
 #: doc_id, part, number of tokens, whether there is a doc_id; then the tokens, and a line feed that ends the record.
 HEADER = "<qIIB3x"
 HEADER_BYTES = struct.calcsize(HEADER)
@@ -33,10 +38,17 @@ class Tokenizer:
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.end = len(ranks)
-        self.encoding = tiktoken.Encoding("sparkloom", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding, self.lone = (tiktoken.Encoding("sparkloom", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (PATTERN, LONE))
 
     def encode(self, text: str | None) -> bytes:
-        return array.array("H", [*(self.encoding.encode_ordinary(text) if text else ()), self.end]).tobytes()
+        encoding = self.encoding if text and NEIGHBOURS.search(text) else self.lone
+        return array.array("H", [*(encoding.encode_ordinary(text) if text else ()), self.end]).tobytes()
+
+
+@lru_cache(maxsize=1)
+def tokenizer(vocabulary: bytes) -> Tokenizer:
+    """The tokenizer of a vocabulary, made once in a worker process."""
+    return Tokenizer(vocabulary)
 
 
 class Feistel:
@@ -65,20 +77,20 @@ class Feistel:
 
 def _count(batches: Iterable[pa.RecordBatch], vocabulary: bytes, length: int) -> Iterator[pa.RecordBatch]:
     """The number of sequences of the task's texts."""
-    tokenizer, n = Tokenizer(vocabulary), 0
+    encode, n = tokenizer(vocabulary).encode, 0
     for batch in in_slices(batches):
-        n += sum(-(-len(tokenizer.encode(t)) // (2 * length)) for t in batch.column(1).to_pylist())
+        n += sum(-(-len(encode(t)) // (2 * length)) for t in batch.column(1).to_pylist())
     yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], names=["task", "n"])
 
 
 def _place(batches: Iterable[pa.RecordBatch], vocabulary: bytes, length: int, ranges: dict[int, tuple[int, int]], order: Feistel, per_shard: int) -> Iterator[pa.RecordBatch]:
     """Every sequence with its slot; tokens are compressed for the shuffle."""
-    tokenizer, packer = Tokenizer(vocabulary), zstandard.ZstdCompressor(level=6)
+    encode, packer = tokenizer(vocabulary).encode, zstandard.ZstdCompressor(level=3)
     at, end = ranges.get(TaskContext.get().partitionId(), (0, 0))
     for batch in in_slices(batches, 250):
         rows: list[bytes] = []
         for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            tokens = tokenizer.encode(text)
+            tokens = encode(text)
             for part, low in enumerate(range(0, len(tokens), 2 * length)):
                 own = tokens[low : low + 2 * length]
                 rows.append(struct.pack(HEADER, key or 0, part, len(own) // 2, key is not None) + packer.compress(own))
@@ -218,8 +230,8 @@ def resume(spark: SparkSession, path: str, slot: int = 0, records: int = 1000) -
 def decode(tokens: list[int], vocabulary: str = VOCABULARY) -> str:
     """The text of a document's tokens, end tokens left out."""
     with open(vocabulary, "rb") as f:
-        tokenizer = Tokenizer(f.read())
-    return tokenizer.encoding.decode([t for t in tokens if t != tokenizer.end])
+        own = tokenizer(f.read())
+    return own.encoding.decode([t for t in tokens if t != own.end])
 
 
 def token_output(spark: SparkSession, docs: DataFrame, **options: object) -> DataFrame:
