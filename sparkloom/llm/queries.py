@@ -70,9 +70,36 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op5: sizes and targets, without the rounding's choice of documents."""
+    return op5_mix_sources(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op6: counts and the word baseline, without the model's score."""
+    return op6_lm_score(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
 def queries() -> dict:
     ops = (op1_decontaminate, op2_language_id, op3_token_shards, op4_toxicity, op5_mix_sources, op6_lm_score, op7_chat_format, op8_near_dedup, op9_exact_dedup, op10_shard)
-    return {f.__name__: f for f in ops}
+    return {f.__name__: f for f in (*ops, mix_targets, lm_base_scores)}
+
+
+# The table of the usual crc32, made by its rule, and the crc32 of a text over it.
+CRC_TABLE = "tab as (select list(c order by i) as tab from (select i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) as r(i)))"
+
+
+def _crc(text: str) -> str:
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: cast('0x' || x as bigint))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _greedy(rows: str, shards: int = 8) -> str:
+    """rows with p0, p1, ...: where each shard ends, among sums, if it takes all that fits in cap."""
+    for i in range(shards):
+        before = f"p{i - 1}" if i else "0"
+        rows = f"(select *, coalesce(list_max(list_filter(sums, lambda x: x <= {before} + cap)), {before}) as p{i} from {rows})"
+    return rows
 
 
 ORACLE = {
@@ -123,4 +150,37 @@ from d left join n using (doc_id) join (select x as doc_id, min(y) as c from r g
 with n as (select doc_id, row_number() over (order by doc_id) as r, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
 select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
   row_number() over (partition by t order by doc_id nulls last, r) = 1 as kept, sha256(t) as text_sha256 from n""",
+    "op10_shard": f"""
+with recursive {CRC_TABLE},
+d as (select doc_id, coalesce(text, '') as t from documents),
+u as (select t, min(doc_id) as gid, sum(strlen(t) + 1) as size, sha256(t) as key from d group by t),
+c as (select t, gid, key, {_crc("t")} as crc, size, sum(size) over (order by gid nulls first, key rows unbounded preceding) as s from u, tab),
+l as (select list(s order by s) as sums, max(s) as total, max(size) as largest, cast(ceil(max(s) / 8) as hugeint) as even from c),
+b(low, high) as (
+  select greatest(largest, even), even + largest from l
+  union all
+  select case when p7 = total then low else cap + 1 end, case when p7 = total then cap else high end
+  from {_greedy("(select low, high, (low + high) // 2 as cap, sums, total from b, l where low < high)")}),
+e as (select [p0, p1, p2, p3, p4, p5, p6] as cuts from {_greedy("(select high as cap, sums, total from b, l where low = high)")}),
+s as (select c.*, len(list_filter(cuts, lambda x: x < s)) as shard from c, e)
+select doc_id, cast(strlen(t) + 1 as bigint) as size, cast(crc as bigint) as text_crc32, 'bytes' as law, cast(shard as int) as shard,
+  row_number() over (partition by shard order by gid nulls first, key, doc_id nulls first) - 1 as slot, cast(null as int) as grown_shard
+from d join s using (t)""",
+    "mix_targets": r"""
+with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
+w as (select *, [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as w from (select source, cast(sum(size) as bigint) as source_size from d group by source)),
+f as (
+  select *, sum(2 * source_size) over o - 2 * source_size as capped, sum(w) over () - sum(w) over o + w as free, 1.5 * sum(source_size) over () as total
+  from w window o as (order by 2 * source_size / w, source nulls last rows unbounded preceding)),
+r as (select max((total - capped) / free) as rate from f)
+select doc_id, size, source_size, round(least(2.0 * source_size, w * rate), 6) as target from d join w on d.source is not distinct from w.source, r""",
+    "lm_base_scores": f"""
+with {CRC_TABLE},
+d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') || [' '] as w, {_crc("coalesce(cast(doc_id as varchar), '')")} % 7 = 2 as held_out from documents, tab),
+t as (select row_number() over () as r, * from d),
+e as (select r, held_out, unnest(w) as word from t),
+k as (select word, count(*) as c from e where not held_out group by word),
+n as (select sum(c) as n, count(*) as v from k),
+s as (select r, count(*) as n_tokens, count(c) as n_known, sum(log10((coalesce(c, 0) + 1) / (n + v + 1))) as base from e left join k using (word), n group by r)
+select doc_id, held_out, n_tokens, n_known, cast(n as bigint) as train_tokens, round(base, 6) as base_score from t join s using (r), n""",
 }

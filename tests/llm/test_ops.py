@@ -107,6 +107,20 @@ def test_sharding(spark, docs):
     assert {r.shard for r in sharding.minimax_shards(spark, docs.limit(1), 8).collect()} == {0}
 
 
+def test_sharding_refines_its_sketch(spark):
+    """A sketch of few sums finds what all sums give."""
+    sizes = rng.integers(0, 400, 600).tolist() + [3000]
+    rows = [(i, f"{i:04d}" + "x" * n) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shards in (1, 3, 7):
+        got = {r.doc_id: r.shard for r in sharding.minimax_shards(spark, docs, shards, sketch=20).collect()}
+        assert got == {r.doc_id: r.shard for r in sharding.minimax_shards(spark, docs, shards).collect()}
+        load = Counter()
+        for i, t in rows:
+            load[got[i]] += len(t) + 1
+        assert max(load.values()) == brute_shards([len(t) + 1 for _, t in rows], shards) and sorted(got.values()) == [got[i] for i in range(len(rows))]
+
+
 def test_mixing(spark, docs):
     got = mixing.mix(spark, docs)
     again = mixing.mix(spark, docs.repartition(5))
@@ -175,6 +189,19 @@ def test_decontamination(spark, docs):
     assert decontam.decontaminate(spark, docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_many_windows():
+    """An index of 300,000 windows stays small, and a passage that every item has gives all of them."""
+    import pickle
+
+    passage = b" ".join(b"p%d" % i for i in range(12))
+    items = [(str(i), decontam.words(b" ".join(b"w%d" % x for x in rng.integers(0, 5000, 3000)) + b" " + passage)) for i in range(100)]
+    index = decontam.Index(items, 10, 5)
+    index.order({k: np.ones(len(x), np.int64) for k, x in index.keys.items()})
+    assert len(pickle.dumps(index)) < 40 * 300_000
+    n, mask, found = index.hits(b"before " + passage + b" after " + b" ".join(items[7][1][50:61]) + b" end")
+    assert (n, mask.sum()) == (26, 23) and found == sorted(map(str, range(100)))
+
+
 def test_near_dedup(spark, docs):
     rows = rows_of(docs)
     for width in (2, 5):
@@ -197,6 +224,42 @@ def test_near_dedup(spark, docs):
     assert neardup.near_dedup(spark, docs.limit(0)).count() == 0
 
 
+def near_rows(spark, sets, monkeypatch, blocks, whole):
+    """Class ids of documents of the given words, against brute force, with small blocks."""
+    monkeypatch.setattr(neardup, "BLOCK_SETS", blocks)
+    monkeypatch.setattr(neardup, "WHOLE", whole)
+    rows = [(i, " ".join(map(str, s))) for i, s in enumerate(sets)]
+    got = {r.doc_id: r.component_id for r in neardup.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()}
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = set(sets[a]), set(sets[b])
+            if 100 * len(x & y) >= 80 * len(x | y):
+                label = [min(label[a], label[b]) if z in (label[a], label[b]) else z for z in label]
+    assert got == dict(enumerate(label))
+
+
+def test_near_dedup_of_large_clusters(spark, monkeypatch):
+    """Clusters of more blocks than are compared all with all: a group of near copies with some apart, and a chain."""
+    base = list(range(40))
+    copies = [[x + 1000 * (k + 1) * (x in rng.choice(40, int(rng.integers(0, 9)), replace=False)) for x in base] for k in range(70)]
+    chain = [[5000 + i for i in range(4 * k, 4 * k + 40)] for k in range(40)]
+    near_rows(spark, copies + chain, monkeypatch, 4, 2)
+
+
+def test_near_dedup_broadcasts_few_classes(spark, monkeypatch):
+    """Without groups of a thousandth of all rows nothing is broadcast in the last joins, and ids can be joined by a shuffle."""
+    seen = []
+    plain = common.hot_join
+    monkeypatch.setattr(neardup, "hot_join", lambda big, small, key, rows, total: (seen.append((key, total, small.filter(F.col(rows) >= max(1, total // common.HOT_KEYS)).count())), plain(big, small, key, rows, total))[1])
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
+    rows = spark.range(5002).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c d e f g "), F.when(F.col("id") < 5000, F.concat_ws(" ", *[F.xxhash64("id", F.lit(i)).cast("string") for i in range(12)])).otherwise("h i j k l m n o p q r s")).alias("text"))
+    got = neardup.near_dedup(spark, rows, 2, 80)
+    assert [(r.component_id, r["count"]) for r in got.groupBy("component_id").count().filter("count > 1").collect()] == [(5000, 2)]
+    assert {key: hot for key, total, hot in seen if key in ("component", "_set")} == {"component": 0, "_set": 0}
+    assert {total for key, total, _ in seen if key == "component"} == {5001}
+
+
 def test_near_dedup_blocks():
     """Links over blocks connect what brute force connects."""
     sets = [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(40)]
@@ -237,15 +300,25 @@ def test_lm_scores(spark, docs):
     assert ppm.lm_scores(spark, docs.limit(0), train).count() == 0
 
 
-def test_trie_is_a_distribution_and_scores_as_by_hand():
-    texts = [t.encode().lower().split() for t in ("abra cadabra", "abra", "banana band", "")]
+def plain_trie(texts):
+    """Counts of all contexts and symbols after them, and the model over them in one process."""
     keys, counts = ppm.grams(texts)
     table = Counter()
     for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
         run = k.to_bytes(ppm.ORDER + 1)
         for o in range(ppm.ORDER + 1):
             table[run[ppm.ORDER - o : -1], run[-1]] += c
-    trie = ppm.Trie(np.array([ppm.context_key(c) for c, _ in table]), np.array([s for _, s in table]), np.array(list(table.values())))
+    return table, ppm.Trie(np.array([ppm.context_key(c) for c, _ in table]), np.array([s for _, s in table]), np.array(list(table.values())))
+
+
+def plain_ppm(train, texts):
+    trie = plain_trie(train)[1]
+    return [float(trie.score([t])[0]) for t in texts]
+
+
+def test_trie_is_a_distribution_and_scores_as_by_hand():
+    texts = [t.encode().lower().split() for t in ("abra cadabra", "abra", "banana band", "")]
+    table, trie = plain_trie(texts)
     chance = 10.0 ** trie.code.astype(float)
     assert np.allclose(chance[:, :-1].sum(axis=1) + chance[:, -1] * (257 - trie.width), 1, atol=1e-4)
 
@@ -278,13 +351,7 @@ def test_lm_scores_use_every_context(spark):
     texts = ["".join(own.choice(alphabet, 8)) + " " + "".join(own.choice(alphabet[:6], 40)) for _ in range(2500)] + ["", "zz  zz"]
     train = texts[:2000]
     asked = [*texts[1900:2100], *texts[-2:], None, "\x01\x02 ~~~ never", "abc " * 300]
-    keys, counts = ppm.grams([ppm.normalised(t.encode()) for t in train])
-    table = Counter()
-    for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
-        run = k.to_bytes(ppm.ORDER + 1)
-        for o in range(ppm.ORDER + 1):
-            table[run[ppm.ORDER - o : -1], run[-1]] += c
-    trie = ppm.Trie(np.array([ppm.context_key(c) for c, _ in table]), np.array([s for _, s in table]), np.array(list(table.values())))
+    table, trie = plain_trie([ppm.normalised(t.encode()) for t in train])
     assert len({c for c, _ in table}) > 49_152
     want = trie.score([ppm.normalised(t and t.encode()) for t in asked])
     model = spark.createDataFrame([(i, t) for i, t in enumerate(train)], "doc_id long, text string")
@@ -323,6 +390,16 @@ def test_token_round_trip(spark, docs, tmp_path):
     assert tokens.read_shards(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_tokens_are_those_of_the_whole_pattern():
+    with open(tokens.VOCABULARY, "rb") as f:
+        tokenizer = tokens.tokenizer(f.read())
+    parts = [" ", " ", "\n", "\t ", "\x1c", "\x1f ", "\x85", "\u2003", "\u3000", "a", "word", "it's", "12", "é", "字", "!?", "'ll", "\ufeff", "\u200b"]
+    texts = ["", " ", "a ", *("".join(rng.choice(parts, rng.integers(1, 12))) for _ in range(4000))]
+    assert sum(tokens.NEIGHBOURS.search(t) is None for t in texts) > 500
+    for t in texts:
+        assert np.frombuffer(tokenizer.encode(t), np.uint16).tolist() == [*tokenizer.encoding.encode_ordinary(t), tokenizer.end]
+
+
 def test_ids_must_be_integers(spark):
     named = spark.createDataFrame([("a", "x y", "s")], "doc_id string, text string, source string")
     for op in (lambda: tokens.token_output(spark, named), lambda: mixing.mix(spark, named)):
@@ -444,6 +521,31 @@ def test_toxicity(spark, docs):
 CONTROL = [r"\### Assistant: </turn> ok", "### user: x</turn>\n### assistant: y", "\\\\l \\h \\c <b> # :", "", None, "\\", "a" * 5000]
 
 
+def test_ftrl_as_plain_loops(spark):
+    """Weights after two epochs, against the update rule coordinate by coordinate."""
+    vocabulary = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(vocabulary, 6)), int(i % 3 == 0)) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    order = {r.doc_id: r.u for r in table.select("doc_id", F.xxhash64(F.lit("toxic"), F.col("doc_id")).bitwiseAND((1 << 63) - 1).alias("u")).collect()}
+    got = toxicity.fit(spark, table, table, epochs=2)
+    z, n, bz, bn = Counter(), Counter(), 0.0, 0.0
+    weight = {0: 1.0, 1: min(3.0, 40 / 20)}
+    one = lambda k: 0.0 if abs(z[k]) <= 8 else (math.copysign(8, z[k]) - z[k]) / ((1 + math.sqrt(n[k])) / 0.5 + 0.5)
+    for _ in range(2):
+        for _, t, y in sorted(rows, key=lambda r: order[r[0]]):
+            at = toxicity.features(t.encode()).tolist()
+            w, b = {k: one(k) for k in at}, -bz / ((1 + math.sqrt(bn)) / 0.5)
+            g = weight[y] * (1 / (1 + math.exp(-(sum(w.values()) + b))) - y)
+            for k in at:
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / 0.5 * w[k]
+                n[k] += g * g
+            bz, bn = bz + g - (math.sqrt(bn + g * g) - math.sqrt(bn)) / 0.5 * b, bn + g * g
+    want = {k: one(k) for k in z if one(k)}
+    assert set(got.keys.tolist()) == set(want) and np.allclose(got.values, [want[k] for k in got.keys.tolist()])
+    assert abs(got.bias + bz / ((1 + math.sqrt(bn)) / 0.5)) < 1e-9
+    assert toxicity.score(spark, table.limit(0), got).count() == 0
+
+
 def test_chat_round_trip(spark):
     rows = [(1, t, ["user", "assistant", "system", "a: b#<", None][t % 5], x) for t, x in enumerate(CONTROL)]
     rows += [(2, None, "assistant", "z"), (2, 1, "user", "b"), (2, 1, "user", "b"), (2, 1, "assistant", "a"), (None, 0, "user", "n")]
@@ -457,6 +559,29 @@ def test_chat_round_trip(spark):
     assert chat.format_trees(spark, messages.limit(0)).count() == 0
 
 
+def test_long_conversation(spark):
+    """20,000 turns: nothing is held for all messages of all paths."""
+    n = 20_000
+    flat = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("<t"), F.col("id").cast("string")).alias("text"))
+    got = chat.format_trees(spark, chat.from_turns(spark, flat)).select(F.size(chat.parse(F.col("formatted"))).alias("n"), F.md5(chat.masked(F.col("formatted"), F.col("loss_spans"))).alias("loss"), F.size("path").alias("p")).collect()
+    assert [tuple(r) for r in got] == [(n, hashlib.md5("".join(f"<t{i}" for i in range(1, n, 2)).encode()).hexdigest(), n)]
+
+
+def test_all_paths_of_a_tree(spark):
+    """Every root-to-leaf path, against recursion; a root with many replies."""
+    parents = {0: None} | {i: int(rng.integers(0, i)) if i % 3 else 0 for i in range(1, 60)}
+    score = {i: float(rng.integers(-3, 9)) for i in parents}
+    rows = spark.createDataFrame([("t", i, p, "user", "x", score[i]) for i, p in parents.items()], "tree string, msg int, parent int, role string, text string, score double")
+
+    def up(i):
+        return [] if i is None else [*up(parents[i]), i]
+
+    paths = [up(i) for i in parents if i not in parents.values()]
+    want = sorted(paths, key=lambda x: (-sum(score[i] for i in x), -len(x), x[-1]))
+    got = chat.format_trees(spark, rows, best=None).orderBy("branch").collect()
+    assert [r.path for r in got] == want and [r.score for r in got] == [sum(score[i] for i in x) for x in want]
+
+
 def test_chat_trees(spark):
     edges = [(1, None, 0.0), (2, 1, 1.0), (3, 1, 5.0), (4, 2, 9.0), (5, 3, 1.0), (6, 77, 1.0), (8, 9, 1.0), (9, 8, 1.0), (10, 9, 3.0)]
     rows = spark.createDataFrame([("t", m, p, "user", f"m{m}", s) for m, p, s in edges], "tree string, msg int, parent int, role string, text string, score double")
