@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontam, langid, mixing, neardup, tokens
-from sparkloom.llm.common import discard, fold, mark, materialise
+from sparkloom.llm.common import discard, fold, hot_join, mark, materialise
 
 #: Documents below this share of the best language are rejected, as are texts without letters.
 LEAST_SCORE = 0.5
@@ -46,7 +46,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = neardup.near_dedup(spark, rows, 5, 80, keep=(ROW,)).filter("component is not null").select("component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW).alias("_at"))
     found = materialise(spark, found, "groups")
     first = found.groupBy("component").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    dropped = found.join(first, "component").filter("_at <> _first").select(F.col("_at")[ROW].alias(ROW))
+    first = materialise(spark, first, "first")
+    dropped = hot_join(found, first, "component", "_n", found.count()).filter("_at <> _first").select(F.col("_at")[ROW].alias(ROW))
     dropped = materialise(spark, dropped, "dropped")
     discard(spark, start, mark() - 1)
     return _without(rows, dropped)
