@@ -7,31 +7,40 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def stub_completer() -> Callable[[str, int], str]:
+def stub_completer() -> Callable[[list[str], list[int]], list[str]]:
     """The completer of tests: always the same instruction."""
-    return lambda prompt, max_new_tokens: "addi t0, t0, 1"
+    return lambda prompts, max_new_tokens: ["addi t0, t0, 1"] * len(prompts)
 
 
-def complete_udf(load: Callable[[], Callable[[str, int], str]] = stub_completer) -> Callable[[Column, Column], Column]:
-    """complete(prompt, max_new_tokens) -> text."""
+def by_batch(f: Callable[..., list], first: pd.Series, *others: pd.Series) -> pd.Series:
+    """f over the rows whose first value is not null, all at once; null for the others."""
+    there = first.notna()
+    out = pd.Series([None] * len(first), dtype=object)
+    if there.any():
+        out[there.to_numpy()] = pd.Series(f(*(list(x[there]) for x in (first, *others))), dtype=object).to_numpy()
+    return out
+
+
+def complete_udf(load: Callable[[], Callable[[list[str], list[int]], list[str]]] = stub_completer) -> Callable[[Column, Column], Column]:
+    """complete(prompt, max_new_tokens) -> text; the model gets batches."""
 
     @F.pandas_udf("string")
     def complete(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = load()
         for prompts, budgets in batches:
-            yield pd.Series([None if p is None else model(p, n) for p, n in zip(prompts, budgets, strict=True)], dtype=object)
+            yield by_batch(model, prompts, budgets)
 
     return complete
 
 
-def token_losses_udf(load: Callable[[], Callable[[list[int]], list[float]]]) -> Callable[[Column], Column]:
-    """token_losses(ids) -> losses, one for each id."""
+def token_losses_udf(load: Callable[[], Callable[[list[list[int]]], list[list[float]]]]) -> Callable[[Column], Column]:
+    """token_losses(ids) -> losses, one for each id; the model gets batches."""
 
     @F.pandas_udf("array<double>")
     def losses(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for ids in batches:
-            yield ids.map(lambda x: None if x is None else list(model(list(x))))
+            yield by_batch(lambda rows: [list(x) for x in model([list(x) for x in rows])], ids)
 
     return losses
 

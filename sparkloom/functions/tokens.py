@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .models import by_batch
+
 IGNORED = -100
 
 
@@ -20,14 +22,14 @@ def hash_ids(tokens: Column) -> Column:
     return F.transform(tokens, lambda x: F.conv(F.substring(F.md5(x), 1, 6), 16, 10).cast("int"))
 
 
-def tokenizer_udf(make: Callable[[], Callable[[str], list[int]]]) -> Callable[[Column], Column]:
-    """A tokenizer as an Arrow-batched function STRING -> ARRAY<INT>; `make` runs once in each task."""
+def tokenizer_udf(make: Callable[[], Callable[[list[str]], list[list[int]]]]) -> Callable[[Column], Column]:
+    """A tokenizer of batches as an Arrow-batched function STRING -> ARRAY<INT>; `make` runs once in each task."""
 
     @F.pandas_udf("array<int>")
     def tokenize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = make()
         for texts in batches:
-            yield texts.map(lambda t: None if t is None else list(encode(t)))
+            yield by_batch(encode, texts)
 
     return tokenize
 

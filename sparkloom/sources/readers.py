@@ -5,7 +5,7 @@ from __future__ import annotations
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +21,16 @@ def table(spark: SparkSession, folder: str, name: str, least: int = 32 << 20) ->
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, line) of text files; \\n, \\r\\n and lone \\r end a line, as in Python."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
-    body = F.regexp_replace("value", r"(\r\n|\r|\n)\z", "")
-    return whole.filter("value <> ''").select("path", F.posexplode(F.split(body, r"\r\n|\r|\n", -1)).alias("line_no", "line"))
+    """(path, line_no from 0, line) of text files; \\n, \\r\\n and lone \\r end a line, as in Python.
+
+    Files are read in blocks by many tasks. A line's number is its place in its block, and the lines of the blocks
+    before: a table of one row for each block.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"))
+    blocks = rows.groupBy("path", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return rows.join(blocks, ["path", "_block"]).select("path", (F.col("_at") - F.col("_first") + F.col("_before")).alias("line_no"), "line")
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType = EXAMPLE, required: tuple[str, ...] = ("text",)) -> DataFrame:

@@ -35,7 +35,7 @@ def test_tokens(spark):
     r = ids.select(F.size("ids").alias("n"), F.size(tokens.pad(tokens.truncate(F.col("ids"), 2), 5)).alias("m"), tokens.mask_prompt(F.col("ids"), F.col("p")).alias("l")).collect()
     assert [(x.n, x.m) for x in r] == [(3, 5), (0, 5)]
     assert r[0].l[:2] == [-100, -100] and r[0].l[2] >= 0
-    count = tokens.tokenizer_udf(lambda: lambda t: [len(w) for w in t.split()])
+    count = tokens.tokenizer_udf(lambda: lambda texts: [[len(w) for w in t.split()] for t in texts])
     assert [x[0] for x in ids.orderBy("i").select(count(F.col("t"))).collect()] == [[1, 1, 1], None]
 
 
@@ -52,7 +52,7 @@ def test_special_tokens_and_collation(spark):
 
 def test_models(spark):
     df = spark.createDataFrame([("p", [1, 2, 3], [-100, 2, 3]), ("q", [1], [-100])], "p string, ids array<int>, labels array<int>")
-    losses = models.token_losses_udf(lambda: lambda ids: [float(i) for i in ids])
+    losses = models.token_losses_udf(lambda: lambda rows: [[float(i) for i in ids] for ids in rows])
     got = df.select(models.complete_udf()(F.col("p"), F.lit(30)).alias("g"), models.mean_loss(losses(F.col("ids")), F.col("labels")).alias("loss")).collect()
     assert [(r.g, r.loss) for r in got] == [("addi t0, t0, 1", 2.5), ("addi t0, t0, 1", None)]
 

@@ -194,6 +194,18 @@ def test_results(spark, tmp_path):
     assert readers.json_document(spark, str(tmp_path / "none.json"), schemas.RUN_RESULT).count() == 0
     (tmp_path / "t.txt").write_bytes(b"a\r\nb\rc\n\nd")
     assert [r.line for r in readers.text_lines(spark, str(tmp_path / "t.txt")).orderBy("line_no").collect()] == ["a", "b", "c", "", "d"]
+    (tmp_path / "many").mkdir()
+    lines = {k: [f"{k} {i}" * (i % 7) for i in range(3000)] for k in "ab"}
+    for k, x in lines.items():
+        (tmp_path / f"many/{k}.txt").write_text("\n".join(x) + "\n")
+    (tmp_path / "many/none.txt").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        many = readers.text_lines(spark, str(tmp_path / "many"))
+        for k, x in lines.items():
+            assert [(r.line_no, r.line) for r in many.filter(F.col("path").endswith(f"{k}.txt")).orderBy("line_no").collect()] == list(enumerate(x))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert readers.line_count(spark, str(tmp_path / "t.txt"))[1] == "SAMPLE" and readers.line_count(spark, str(tmp_path / "no"))[1] == "not found"
     (tmp_path / "j.json").write_text('{"text": "a"}\n{"other": 1}\n')
     try:
