@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, numbered
+from .common import longs, materialise, numbered
 
 #: A turn is HEAD + role + SEP + text + END.
 HEAD, SEP, END = "### ", ": ", "</turn>\n"
@@ -149,6 +149,6 @@ def from_turns(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     for pid, n in sorted(tuple(r) for r in placed.groupBy("_pid").count().collect()):
         offsets.append((pid, before))
         before += n
-    at = spark.createDataFrame(offsets, "_pid long, _before long")
+    at = longs(spark, offsets or [(0, 0)], "_pid", "_before")
     msg = F.col("_before") + F.col("_at")
     return placed.join(F.broadcast(at), "_pid").select("tree", "conv_id", msg.alias("msg"), (msg - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))

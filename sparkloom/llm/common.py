@@ -99,6 +99,12 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(key_text(column).cast("binary")) % folds
 
 
+def longs(spark: SparkSession, rows: list[tuple[int, ...]], *names: str) -> DataFrame:
+    """A small table of integers as part of the plan: no Python worker makes it. There is at least one row."""
+    values = ", ".join("(" + ", ".join(f"{x}L" for x in row) + ")" for row in rows)
+    return spark.sql(f"select * from values {values} as t({', '.join(names)})")
+
+
 def hash_bound(wanted: int, rows: int) -> int:
     """The largest of 63-bit hashes with which about so many of the rows are chosen."""
     return ((1 << 63) - 1) * min(wanted, rows) // rows

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hot_join, materialise, numbered, small_batches, whole_number
+from .common import hot_join, longs, materialise, numbered, small_batches, whole_number
 
 WORD = r"[^\x20\x09-\x0D]+"
 MASK = (1 << 64) - 1
@@ -77,7 +77,7 @@ def source_targets(spark: SparkSession, sources: DataFrame, weights: tuple[float
     for pid, n in sorted(tuple(r) for r in ranked.groupBy("_pid").count().collect()):
         offsets.append((pid, before))
         before += n
-    at = spark.createDataFrame(offsets, "_pid long, _before long")
+    at = longs(spark, offsets or [(0, 0)], "_pid", "_before")
     ranked = ranked.join(F.broadcast(at), "_pid").withColumn("_rank", F.col("_at") + F.col("_before"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
     ranked = ranked.withColumn("_w", weight).withColumn("_most", F.col("source_size") * F.lit(float(most)))

@@ -7,7 +7,7 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, materialise, numbered
+from .common import hot_join, longs, materialise, numbered
 
 #: Sums that the driver holds at once, about; and as many for each shard at least.
 SKETCH, PER_SHARD = 60_000, 48
@@ -111,7 +111,7 @@ def minimax_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, id_col
         total, n_groups, n, largest = total + s, n_groups + k, n + rows, max(largest, top)
     if not offsets:
         return base.select(F.col("_id").alias(id_col), "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    at = spark.createDataFrame(offsets, "_pid long, _before long, _first long")
+    at = longs(spark, offsets, "_pid", "_before", "_first")
     running = F.sum("_size").over(Window.partitionBy("_pid").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
     prefix = groups.join(F.broadcast(at), "_pid").select("_key", "_gid", "_n", (running + F.col("_before")).alias("_sum"), (F.col("_at") + F.col("_first")).alias("_nth"))
     prefix = materialise(spark, prefix, "prefix")
@@ -125,5 +125,5 @@ def minimax_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, id_col
     for pid, s, n, low in sorted(tuple(r) for r in rows.groupBy("_pid", "shard").agg(F.count("*"), F.min("_at")).collect()):
         first.append((pid, s, taken.get(s, 0) - low))
         taken[s] = taken.get(s, 0) + n
-    at = spark.createDataFrame(first, "_pid long, shard int, _first long")
+    at = longs(spark, first, "_pid", "shard", "_first").withColumn("shard", F.col("shard").cast("int"))
     return rows.join(F.broadcast(at), ["_pid", "shard"]).select(F.col("_id").alias(id_col), "size", "text_crc32", "shard", (F.col("_at") + F.col("_first")).alias("slot"))
