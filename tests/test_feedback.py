@@ -228,6 +228,13 @@ def test_results(spark, tmp_path):
     assert (got.max_input_length, got.markers) == (9, ("<fim_prefix>", "<fim_suffix>", "<m>"))
 
 
+def test_small_tables_are_dealt_over_all_cores(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    got = readers.table(spark, str(tmp_path), "one")
+    assert got.select(F.spark_partition_id()).distinct().count() == spark.sparkContext.defaultParallelism and got.count() == 100
+    assert readers.table(spark, str(tmp_path), "one", least=0).select(F.spark_partition_id()).distinct().count() == 1
+
+
 def test_debounce_stream(spark, tmp_path):
     """Each key's last request comes out once after silence; needs the state store that keeps timers."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
