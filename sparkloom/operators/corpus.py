@@ -40,15 +40,21 @@ def size_class(n: Column, least: int = 1000) -> Column:
     return F.when(n < least, "SAMPLE").otherwise("FULL")
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """df as rows of one RDD, whose shuffles and sampled range bounds are those of every reading."""
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(df._jdf.toJavaRDD(), df._jdf.schema()), spark)
+
+
 def ranked(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
     """df with rank_no, its place (from 1) in a total order, without a single task for all rows.
 
-    Rows are range partitioned into a fixed number of partitions (so that both readings agree) and numbered
-    there; the partitions' counts, one row each, give the offsets.
+    Rows are range partitioned and numbered there; the partitions' counts, one row each, give the offsets. Counts
+    and rows are read of the same RDD, as another plan would sample other bounds.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+    placed = _once(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright("_mid", 33)
     offsets, before = [], 0
     for p, c in sorted(tuple(r) for r in placed.groupBy(pid.alias("p")).count().collect()):
@@ -60,11 +66,12 @@ def ranked(df: DataFrame, order: list[Column], partitions: int | None = None) ->
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: str = "") -> DataFrame:
-    """Adds split: exactly ceil(test_size * n) rows are `test`, by md5 of seed and key, so that reruns agree."""
+    """Adds split: exactly ceil(test_size * n) rows are `test`, by md5 of seed and key, so that reruns agree. Null keys come last."""
     digest = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))
     n = df.count()
     tests = -int(-(n * test_size) // 1)
-    return ranked(df.withColumn("_digest", digest), [F.col("_digest"), F.col(key)]).withColumn("split", F.when(F.col("rank_no") <= tests, "test").otherwise("train")).drop("_digest", "rank_no")
+    order = [F.col("_digest").asc_nulls_last(), F.col(key).asc_nulls_last()]
+    return ranked(df.withColumn("_digest", digest), order).withColumn("split", F.when(F.col("rank_no") <= tests, "test").otherwise("train")).drop("_digest", "rank_no")
 
 
 def sample_by_digest(df: DataFrame, key: str, k: int = 200) -> DataFrame:

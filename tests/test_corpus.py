@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -22,6 +23,17 @@ def test_split_sizes(spark):
         assert got.count() == n
 
 
+def test_ranks_of_many_rows(spark):
+    """Range bounds are sampled here: counts and rows must have the same ones."""
+    df = spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("k"))
+    got = {r.k: r.split for r in corpus.train_test_split(df.union(spark.range(3).select(F.lit(None).cast("long"))), "k").filter("k is not null").collect()}
+    order = sorted(range(40_000), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+    assert got == {k: "test" if place < 8001 else "train" for place, k in enumerate(order)}
+    assert all(r.rank_no == r.k + 1 for r in corpus.ranked(df, [F.col("k")], 16).collect())
+    picked = corpus.sample_seeded(spark, df, [F.col("k")]).orderBy("sample_pos").collect()
+    assert [r.k for r in picked] == random.Random(42).sample(range(40_000), 200)
+
+
 def test_samples(spark):
     df = spark.range(300).withColumnRenamed("id", "k")
     got = corpus.sample_seeded(spark, df, [F.col("k")]).orderBy("sample_pos").collect()
