@@ -1,6 +1,6 @@
 """Feedback: requests, validation, defaults, the rating table and the retry queue."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -155,17 +155,22 @@ def flush(queue: DataFrame, stored_keys: DataFrame, key: str) -> DataFrame:
     queue has it) or `parked` (refused).
 
     Rows come from one reading of the queue; what arrives meanwhile is not touched. Earlier is what comes first in
-    the scan, of a written table the same in each reading. The first rows of keys are found by partial aggregation;
-    a key with very many rows is a skewed side of the join, which adaptive execution splits. A null key is no
-    duplicate of any.
+    that reading. The valid rows of a key are numbered within each partition of the queue, then the first ones of
+    the partitions, and only those look for their key among the stored ones: no task gets all rows of a key. A null
+    key is no duplicate of any.
     """
     detail = rating_detail(F.col("suggestion"), F.col("rating"), F.col("suggestion_type"))
-    rows = queue.withColumn("detail", detail).withColumn("_at", F.monotonically_increasing_id())
-    first = rows.filter(F.col("detail").isNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min("_at").alias("_first"))
-    known = stored_keys.filter(F.col(key).isNotNull()).select(key).distinct().withColumn("_known", F.lit(True))
-    again = F.coalesce(F.col("_known"), F.lit(False)) | F.coalesce(F.col("_first") < F.col("_at"), F.lit(False))
+    rows = queue.withColumn("detail", detail).withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id())
+    valid = F.col("detail").isNull()
+    nth = F.row_number().over(Window.partitionBy(key, "_part", valid).orderBy("_at"))
+    rows = rows.withColumn("_part", F.when(valid & (nth == 1), -1).otherwise(F.col("_part")))
+    first = (F.col("_part") == -1) & (F.row_number().over(Window.partitionBy(key, "_part").orderBy("_at")) == 1)
+    rows = rows.withColumn("_first", F.col(key).isNull() | first)
+    # An aggregate, as a constant would not be a key of the join, whose rows are dealt by key and _part already.
+    known = stored_keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.lit(-1)).alias("_part")).withColumn("_known", F.lit(True))
+    again = F.coalesce(F.col("_known"), F.lit(False)) | ~F.col("_first")
     state = F.when(F.col("detail").isNotNull(), "parked").when(again, "duplicate").otherwise("delivered")
-    return rows.join(first, key, "left").join(known, key, "left").withColumn("state", state).drop("_at", "_first", "_known")
+    return rows.join(known, [key, "_part"], "left").withColumn("state", state).drop("_at", "_part", "_first", "_known")
 
 
 def init_queue(spark: SparkSession, queue: str) -> None:

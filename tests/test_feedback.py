@@ -1,5 +1,7 @@
 import json
+import random
 import time
+from collections import Counter
 
 import pytest
 
@@ -147,6 +149,25 @@ def test_queue(spark):
     assert sorted((r.k, r.state) for r in got) == [(1, "parked"), (2, "delivered"), (2, "duplicate"), (3, "duplicate")]
 
 
+def test_queue_whose_rows_come_in_another_order_each_time(spark):
+    def mixed(batches):
+        for b in batches:
+            at = list(range(b.num_rows))
+            random.SystemRandom().shuffle(at)
+            yield b.take(at)
+
+    key = F.when(F.col("id") % 9 == 0, None).when(F.col("id") % 9 == 1, -1).otherwise(F.col("id") % 5000)
+    rows = spark.range(0, 9000, 1, 6).select(key.alias("k"), F.when(F.col("id") % 4 == 0, "").otherwise("s").alias("suggestion"), F.lit(1).alias("rating"), F.lit("realtime").alias("suggestion_type"))
+    want, seen = Counter(), {2}
+    for r in rows.collect():
+        state = "parked" if not r.suggestion else "duplicate" if r.k in seen else "delivered"
+        want[r.k, state] += 1
+        if state == "delivered" and r.k is not None:
+            seen.add(r.k)
+    got = feedback.flush(rows.mapInArrow(mixed, rows.schema), spark.createDataFrame([(2,), (None,)], "k long"), "k").collect()
+    assert Counter((r.k, r.state) for r in got) == want
+
+
 def test_stream_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     bodies = [{"prefix": "p", "suggestion": "s", "rating": 1}, {"prefix": "p", "suggestion": ""}, {"prefix": "p"}]
